@@ -259,79 +259,73 @@ def positions(reps: np.ndarray, depth: int) -> np.ndarray:
     return out
 
 
-def assemble(columns: DataFrame, groups: dict[str, Group] = RECORDS) -> DataFrame:
-    """Rows of all tables from shredded columns: key, kind, pos, parent_pos, value.
-
-    Made from the mark columns (and the key columns of keyed groups). value is that of an element that is no object.
-    """
+def _assembler(groups: dict[str, Group], want: list[str], kind: str | None = None):
+    """Makes rows (key, kind, pos, parent_pos, value, wanted leaves) of the columns of records that follow each other."""
+
+    def rows_of(cols: dict, chain: list[Group], k) -> list[tuple]:
+        last = chain[-1]
+        depth = len(chain) + sum(g.keyed for g in chain)
+        reps, defs, vals = cols[MARK]
+        idx = positions(np.asarray(reps), depth).astype(str).tolist()
+        up = depth - 1 - last.keyed
+        out = []
+        for i in np.flatnonzero(np.asarray(defs) >= 2 * depth).tolist():
+            parent = ".".join(idx[i][:up])
+            tail = f"{cols['#key'][2][i]}.{idx[i][-1]}" if last.keyed else idx[i][-1]
+            out.append((k, last.kind, f"{parent}.{tail}" if parent else tail, parent, vals[i], *(cols[x][2][i] if x in cols else None for x in want)))
+        return out
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         chains: dict[str, list[Group]] = {}
+        held: dict[str, dict] = {}  # columns of the record that the last batch may have cut in two
+        now = None
+
+        def flush(k) -> list[tuple]:
+            out = [r for path, cols in held.items() for r in rows_of(cols, chains[path], k)]
+            held.clear()
+            return out
+
+        names = ["key", "kind", "pos", "parent_pos", "value", *[f"c{i}" for i in range(len(want))]]
         for pdf in batches:
-            keys = {(k, p): v for k, p, leaf, v in zip(pdf["key"], pdf["path"], pdf["leaf"], pdf["vals"]) if leaf == "#key"}
             out = []
             for k, path, leaf, reps, defs, vals in zip(pdf["key"], pdf["path"], pdf["leaf"], pdf["reps"], pdf["defs"], pdf["vals"]):
-                if leaf != MARK:
-                    continue
-                chain = chains.get(path)
-                if chain is None:
-                    chain = chains[path] = _group_at(groups, path)
-                depth = len(chain) + sum(g.keyed for g in chain)
-                last = chain[-1]
-                idx = positions(np.asarray(reps), depth)
-                there = np.flatnonzero(np.asarray(defs) >= 2 * depth)
-                if not len(there):
-                    continue
-                own = keys.get((k, path)) if last.keyed else None
-                names = idx[there].astype(str)
-                up = depth - 1 - last.keyed
-                parents = [".".join(x) for x in names[:, :up].tolist()]
-                for i, parent, x in zip(there.tolist(), parents, names.tolist()):
-                    tail = f"{own[i]}.{x[-1]}" if own is not None else x[-1]
-                    out.append((k, last.kind, f"{parent}.{tail}" if parent else tail, parent, vals[i]))
-            yield pd.DataFrame(out, columns=["key", "kind", "pos", "parent_pos", "value"])
+                if k != now:
+                    out += flush(now)
+                    now = k
+                if path not in chains:
+                    chains[path] = _group_at(groups, path)
+                if kind is None or chains[path][-1].kind == kind:
+                    held.setdefault(path, {})[leaf] = (reps, defs, vals)
+            yield pd.DataFrame(out, columns=names)
+        yield pd.DataFrame(flush(now), columns=names)
+
+    return run
+
+
+def _assembled(columns: DataFrame, groups: dict[str, Group], want: list[str], kind: str | None) -> DataFrame:
+    key_kind = columns.schema["key"].dataType.simpleString()
+    names = ", ".join([f"key {key_kind}, kind string, pos string, parent_pos string, value string", *(f"c{i} string" for i in range(len(want)))])
+    return columns.where(F.col("leaf").isin(MARK, "#key", *want)).mapInPandas(_assembler(groups, want, kind), names)
+
 
-    kind = columns.schema["key"].dataType.simpleString()
-    return columns.where(F.col("leaf").isin(MARK, "#key")).mapInPandas(run, f"key {kind}, kind string, pos string, parent_pos string, value string")
+def assemble(columns: DataFrame, groups: dict[str, Group] = RECORDS) -> DataFrame:
+    """Rows of all tables from shredded columns: key, kind, pos, parent_pos, value.
+
+    Made from the mark columns (and the key columns of keyed groups). value is that of an element that is no object.
+    The rows of one record must follow each other, as shred() leaves them.
+    """
+    return _assembled(columns, groups, [], None)
 
 
 def table(columns: DataFrame, kind: str, leaves: dict[str, str], groups: dict[str, Group] = RECORDS) -> DataFrame:
     """The table of one kind with the given leaves as columns (leaf name to Spark type): key, pos, parent_pos, value, leaves.
 
     Columns of one record and path have one value per element and equal repetition levels, so that they are read side by
-    side. A leaf that a record lacks is null; a value that the type cannot hold is null.
+    side. A leaf that a record lacks is null; a value that the type cannot hold is null. The rows of one record must follow
+    each other, as shred() leaves them; a stored table of columns is to be sorted by key within partitions by key first.
     """
-    want = list(leaves)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        chains: dict[str, list[Group]] = {}
-        for pdf in batches:
-            by: dict[tuple, dict] = {}
-            for k, path, leaf, reps, defs, vals in zip(pdf["key"], pdf["path"], pdf["leaf"], pdf["reps"], pdf["defs"], pdf["vals"]):
-                by.setdefault((k, path), {})[leaf] = (reps, defs, vals)
-            out = []
-            for (k, path), cols in by.items():
-                if path not in chains:
-                    chains[path] = _group_at(groups, path)
-                chain = chains[path]
-                last = chain[-1]
-                if last.kind != kind or MARK not in cols:
-                    continue
-                depth = len(chain) + sum(g.keyed for g in chain)
-                reps, defs, vals = cols[MARK]
-                idx = positions(np.asarray(reps), depth).astype(str).tolist()
-                up = depth - 1 - last.keyed
-                for i in np.flatnonzero(np.asarray(defs) >= 2 * depth).tolist():
-                    parent = ".".join(idx[i][:up])
-                    tail = f"{cols['#key'][2][i]}.{idx[i][-1]}" if last.keyed else idx[i][-1]
-                    out.append((k, f"{parent}.{tail}" if parent else tail, parent, vals[i], *(cols[x][2][i] if x in cols else None for x in want)))
-            yield pd.DataFrame(out, columns=["key", "pos", "parent_pos", "value", *[f"c{i}" for i in range(len(want))]])
-
-    key_kind = columns.schema["key"].dataType.simpleString()
-    kinds = ", ".join([f"key {key_kind}, pos string, parent_pos string, value string", *(f"c{i} string" for i in range(len(want)))])
-    rows = columns.groupBy("key", "path").applyInPandas(lambda pdf: next(run(iter([pdf]))), kinds)
     typed = [F.expr(f"try_cast(c{i} as {t})").alias(name) for i, (name, t) in enumerate(leaves.items())]
-    return rows.select("key", "pos", "parent_pos", "value", *typed)
+    return _assembled(columns, groups, list(leaves), kind).select("key", "pos", "parent_pos", "value", *typed)
 
 
 def found(raw: DataFrame) -> DataFrame:
