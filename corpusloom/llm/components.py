@@ -1,0 +1,42 @@
+"""Connected components of an edge table, by alternating large-star and small-star steps.
+
+Every step is a shuffle of what edges are left; labels never leave the executors. The number of rounds grows with the
+logarithm of the size of a component.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from corpusloom.durable import Scratch
+
+
+def _min_neighbour(both: DataFrame) -> DataFrame:
+    return both.groupBy("u").agg(F.min("v").alias("m"))
+
+
+def components(edges: DataFrame, scratch: Scratch, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, root) for every node of the edges; root is the least node of its component. Self-loops and repeats do no harm."""
+    pairs = edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).where("u < v").distinct()
+    path = scratch.put(pairs)
+    now = scratch.get(path, pairs.schema)
+    sign = None
+    while True:
+        # Large star: every larger neighbour of u is linked to the least of u and its neighbours.
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = _min_neighbour(both).select("u", F.least("u", "m").alias("m"))
+        large = both.join(least, "u").where("v > u").select(F.col("m").alias("u"), "v").where("u < v").distinct()
+        # Small star: u and its lesser neighbours are linked to the least of them.
+        down = large.select(F.col("v").alias("u"), F.col("u").alias("v"))
+        floor = _min_neighbour(down)
+        small = down.join(floor, "u").select(F.col("m").alias("u"), F.col("v").alias("v")).unionByName(floor.select(F.col("m").alias("u"), F.col("u").alias("v"))).where("u < v").distinct()
+        new_path = scratch.put(small)
+        now = scratch.get(new_path, pairs.schema)
+        scratch.drop(path)
+        path = new_path
+        new_sign = now.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first()
+        if new_sign == sign:
+            break
+        sign = new_sign
+    return now.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(now.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
