@@ -4,6 +4,6 @@ from __future__ import annotations
 
 from corpusloom.queries import collect
 
-MODULES = ("q_neardup",)
+MODULES = ("q_neardup", "q_sizes")
 
 QUERIES, SQL = collect(MODULES, "corpusloom.llm")
