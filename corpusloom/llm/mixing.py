@@ -98,5 +98,7 @@ def mix(documents: DataFrame, mix_targets: DataFrame, key: str = "doc_id", text:
     facts = spark.createDataFrame([(r["mix_id"], r["src"], float(r["target_share"]), int(r["max_repeats"]), int(totals[r["src"]]["t"]) * int(r["max_repeats"]) if r["src"] in totals else 0, r["target_share"] * r["size_factor"] * total) for r in rows], "mix_id string, src string, target_share double, max_repeats int, available_tokens long, wanted_tokens double")
     done = facts.join(taken, ["mix_id", "src"], "left").withColumn("taken_tokens", F.coalesce("taken_tokens", F.lit(0)))
     share = F.col("taken_tokens") / F.nullif(F.sum("taken_tokens").over(W.partitionBy("mix_id")), F.lit(0))
-    report = done.select("mix_id", F.col("src").alias("source"), "target_share", "max_repeats", "available_tokens", "wanted_tokens", "taken_tokens", share.alias("actual_share"), (F.col("available_tokens") < F.col("wanted_tokens")).alias("short"))
+    # A source that cannot fill its share ends before the cut, so the queue has taken all it has.
+    short = (F.col("taken_tokens") >= F.col("available_tokens")) & (F.col("available_tokens") < F.col("wanted_tokens"))
+    report = done.select("mix_id", F.col("src").alias("source"), "target_share", "max_repeats", "available_tokens", "wanted_tokens", "taken_tokens", share.alias("actual_share"), short.alias("short"))
     return mixes.withColumnRenamed("key", key).withColumnRenamed("src", "source"), report
