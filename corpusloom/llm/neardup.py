@@ -3,17 +3,18 @@
 1. words     Every text becomes its set of distinct words, as 48-bit hashes, and a 64-bit key of the set. Texts with the
              same key are copies and one node from here on.
 2. weights   Document frequencies of all words over all rows go into a count sketch of fixed size; a word's weight falls
-             with its frequency and is discretised to 16 levels. A word that occurs once cannot be shared and weighs
-             nothing. Weights steer the candidate search only, never the verdict.
-3. sign      BagMinHash: each word owns a Poisson process over time x signature slot x weight level. Its points come in
-             order of time; a dyadic descent gives a point its weight level, and the point counts for the word if that
-             lies below the word's weight. The first point in a slot over all words of a text is the slot's signature;
-             two texts agree in a slot with the probability of their weighted Jaccard similarity. Points come in blocks;
-             only texts whose slots are not yet decided draw further blocks.
+             with its frequency and is discretised to powers of two. A word that occurs once cannot be shared and weighs
+             nothing; very frequent words weigh next to nothing, so that what two unrelated texts of one language share
+             makes no candidates, at any number of texts. Weights steer the candidate search only, never the verdict.
+3. sign      BagMinHash: the weight axis is cut into dyadic intervals, and each (word, interval) owns a Poisson process
+             over time with a signature slot per point and a rate in proportion to the interval. A word takes part with
+             all intervals below its weight. The first point in a slot over all words of a text is the slot's signature;
+             two texts agree in a slot with the probability of their weighted Jaccard similarity. Points come in blocks
+             of growing size; only texts with undecided slots draw further blocks.
 4. band      Slots are hashed in bands. In a map task, a band value with many texts is first reduced to a star around one
              leader, so no bucket grows with a hot group; buckets above `star_above` become stars as well.
-5. verify    Candidates pass a cheap filter on the stored signature and then the exact similarity of their word sets.
-             Texts of starred buckets that are not yet in one component are compared in full afterwards.
+5. verify    Candidates are held against the exact similarity of their word sets. Texts of starred buckets that are not
+             yet in one component are compared in full afterwards.
 6. group     Links give components (large and small stars); copies join their node again.
 
 Nulls count as empty texts; texts without words are in no group, except that they are no copies of each other either.
@@ -36,9 +37,11 @@ from corpusloom.llm.components import components
 
 _WORD = re.compile(r"[^\W_]+")
 BYTES = 6  # of a word's hash
-LEVELS = 16
 MASK = (1 << 48) - 1
-BLOCK = 2.0  # points of a block, as a multiple of the number of slots
+DEPTH = 12  # the least weight is 2 ** -DEPTH
+RARE = 16  # words of at most so many rows weigh 1
+FALL = 0.7  # weight of a word of more rows: (RARE / rows) ** FALL
+NONE = DEPTH + 1  # level of a word that weighs nothing
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -104,7 +107,7 @@ def frequency_sketch(words: DataFrame, bits: int) -> np.ndarray:
         slots = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(total[slots])], ["slot", "n"])
 
-    def gather(_, pdf: pd.DataFrame) -> pd.DataFrame:
+    def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         part = np.zeros(1 << piece, dtype=np.uint32)
         part[pdf["slot"].to_numpy() & ((1 << piece) - 1)] = np.minimum(pdf["n"].to_numpy(), 0xFFFFFFFF)
         return pd.DataFrame({"piece": [int(pdf["slot"].iloc[0]) >> piece], "counts": [part.tobytes()]})
@@ -116,28 +119,29 @@ def frequency_sketch(words: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def levels(df: np.ndarray, n_rows: int) -> np.ndarray:
-    """Weight levels 0..LEVELS of document frequencies: squared logarithm of rarity; 0 for a word of one row."""
-    rarity = np.log(np.maximum(n_rows, 2) / np.maximum(df, 1.0)) / np.log(max(n_rows, 2))
-    q = np.ceil(LEVELS * np.clip(rarity, 0.0, 1.0) ** 2).astype(np.int64)
-    return np.where(df < 2, 0, np.maximum(q, 1))
+def levels(df: np.ndarray) -> np.ndarray:
+    """Levels of document frequencies: a word of level e weighs 2 ** -e, one of level NONE nothing."""
+    e = np.ceil(FALL * np.log2(np.maximum(df, 1.0) / RARE)).clip(0, DEPTH).astype(np.int64)
+    return np.where(df < 2, NONE, e)
 
 
-def _points(words: np.ndarray, level: np.ndarray, slots: int, block: int, start: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The block-th n points of each word's process: first arrival per slot (inf where none), and the time reached."""
-    at = np.uint64(block * n) + np.arange(n, dtype=np.uint64)
-    h = _mix(words[:, None] * np.uint64(0xD1342543DE82EF95) + at[None, :])
-    gap = -np.log1p(-((h >> np.uint64(32)).astype(np.float64) / 2.0**32)) / slots
-    time = start[:, None] + np.cumsum(gap, axis=1)
-    slot = ((h & np.uint64(0xFFFF)) * np.uint64(slots) >> np.uint64(16)).astype(np.int64)
-    # The dyadic descent: each of log2(LEVELS) bits sends the point to the lower or the upper half of the weights left.
-    place = ((h >> np.uint64(16)) & np.uint64(LEVELS - 1)).astype(np.int64)
-    ok = place < level[:, None]
+def _points(words: np.ndarray, level: np.ndarray, slots: int, block: int, time: np.ndarray) -> np.ndarray:
+    """First arrivals per slot (inf where none) in the block-th points of each word; moves time (word x interval) on."""
     first = np.full((len(words), slots), np.inf)
-    r, c = np.nonzero(ok)
-    r, c = r[::-1], c[::-1]  # the earliest is written last
-    first[r, slot[r, c]] = time[r, c]
-    return first, time[:, -1]
+    for j in range(DEPTH + 1):
+        rows = np.flatnonzero(level <= j)
+        if not len(rows):
+            continue
+        rate = slots * 2.0 ** -(j + (j < DEPTH))  # interval j is the upper half of [0, 2**-j), the last one is [0, 2**-DEPTH)
+        n = (int(1.5 * rate) + 3) << block
+        at = np.uint64(j << 40) + np.uint64((int(1.5 * rate) + 3) * ((1 << block) - 1)) + np.arange(n, dtype=np.uint64)
+        h = _mix(words[rows, None] * np.uint64(0xD1342543DE82EF95) + at[None, :])
+        gap = -np.log1p(-((h >> np.uint64(32)).astype(np.float64) / 2.0**32)) / rate
+        when = time[rows, j, None] + np.cumsum(gap, axis=1)
+        slot = ((h & np.uint64(0xFFFFFFFF)) * np.uint64(slots) >> np.uint64(32)).astype(np.int64)
+        np.minimum.at(first.reshape(-1), (rows[:, None] * slots + slot).ravel(), when.ravel())
+        time[rows, j] = when[:, -1]
+    return first
 
 
 def sign(hashes: np.ndarray, sizes: np.ndarray, level_of, slots: int) -> np.ndarray:
@@ -146,30 +150,31 @@ def sign(hashes: np.ndarray, sizes: np.ndarray, level_of, slots: int) -> np.ndar
     level = level_of(vocab)
     out = np.full((len(sizes), slots), np.inf)
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    use = level[inverse] > 0
+    use = level[inverse] < NONE
     inverse, owner = inverse[use], owner[use]
-    time = np.zeros(len(vocab))
-    n, block = int(BLOCK * slots), 0
+    time = np.zeros((len(vocab), DEPTH + 1))
+    time[np.arange(DEPTH + 1)[None, :] < level[:, None]] = np.inf  # intervals above the weight
+    block = 0
     while len(owner):
         used, local = np.unique(inverse, return_inverse=True)
         first = np.empty((len(used), slots), dtype=np.float64)
-        step = 4096
-        for s in range(0, len(used), step):
-            w = used[s : s + step]
-            first[s : s + step], time[w] = _points(vocab[w], level[w], slots, block, time[w], n)
+        for s in range(0, len(used), 2048):
+            w = used[s : s + 2048]
+            t = time[w]
+            first[s : s + 2048] = _points(vocab[w], level[w], slots, block, t)
+            time[w] = t
         begins = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
         docs = owner[begins]
         ends = np.r_[begins[1:], len(owner)]
-        reached = np.minimum.reduceat(time[inverse], begins)
+        reached = np.minimum.reduceat(time.min(axis=1)[inverse], begins)
         for s in range(0, len(docs), 2048):
             b, e = begins[s], ends[min(s + 2048, len(docs)) - 1]
             got = np.minimum.reduceat(first[local[b:e]], begins[s : s + 2048] - b, axis=0)
             d = docs[s : s + 2048]
             out[d] = np.minimum(out[d], got)
         # A slot is decided once no word can still reach it earlier.
-        open_docs = docs[(out[docs] > reached[:, None]).any(axis=1)]
         keep = np.zeros(len(sizes), dtype=bool)
-        keep[open_docs] = True
+        keep[docs[(out[docs] > reached[:, None]).any(axis=1)]] = True
         inverse, owner = inverse[keep[owner]], owner[keep[owner]]
         block += 1
     return out
@@ -195,24 +200,20 @@ def _band_rows(skeys: np.ndarray, sig: np.ndarray, bands: int, width: int, star_
     return v[plain], node[plain], v[starred], node[starred], lead[starred]
 
 
-def candidates(words: DataFrame, sketch: np.ndarray, n_rows: int, bands: int, width: int, star_above: int, threshold: float, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs (a, b, hot) and the short signatures (skey, sig8) of all nodes that have one."""
-    spark = words.sparkSession
-    shared = spark.sparkContext.broadcast(sketch)
+def band_rows(words: DataFrame, sketch: np.ndarray, bands: int, width: int, star_above: int, threshold: float) -> DataFrame:
+    """(band, node, lead) rows of all nodes: lead is null but for nodes that their map task tied to a leader of the band value."""
+    shared = words.sparkSession.sparkContext.broadcast(sketch)
     slots = bands * width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
-        table = levels(np.arange(1 << 16, dtype=np.float64), n_rows)
         mask = np.uint64(len(counts) - 1)
 
         def level_of(h):
-            c = counts[(h & mask).astype(np.int64)].astype(np.int64)
-            return np.where(c < len(table), table[np.minimum(c, len(table) - 1)], levels(np.maximum(c, 1).astype(np.float64), n_rows))
+            return levels(counts[(h & mask).astype(np.int64)].astype(np.float64))
 
         seen: set[int] = set()
-        for batch in _rebatched(batches, 16_384):
-            keys, blobs = batch
+        for keys, blobs in _rebatched(batches, 16_384):
             new = []
             for i, k in enumerate(keys):
                 if k not in seen:
@@ -229,22 +230,15 @@ def candidates(words: DataFrame, sketch: np.ndarray, n_rows: int, bands: int, wi
             hashes, sizes, k = hashes[np.repeat(can, sizes)], sizes[can], np.array(keys, dtype=np.int64)[can]
             if not len(k):
                 continue
-            sig = sign(hashes, sizes, level_of, slots)
-            fine = np.isfinite(sig).all(axis=1)
-            sig, k = np.ascontiguousarray(sig[fine]), k[fine]
+            sig = np.ascontiguousarray(sign(hashes, sizes, level_of, slots))
             v, node, sv, snode, lead = _band_rows(k, sig, bands, width, star_above)
-            short = (_mix(sig.view(np.uint64)[:, :64]) & np.uint64(0xFF)).astype(np.uint8)
-            n, m, q = len(v), len(sv), len(k)
-            none = lambda c, t=pa.int64(): pa.nulls(c, t)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.concat_arrays([pa.array(v), pa.array(sv), none(q)]),
-                    pa.concat_arrays([pa.array(node), pa.array(snode), pa.array(k)]),
-                    pa.concat_arrays([none(n), pa.array(lead), none(q)]),
-                    pa.concat_arrays([none(n + m, pa.binary()), pa.array([x.tobytes() for x in short], pa.binary())]),
-                ],
-                ["band", "node", "lead", "sig8"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(np.r_[v, sv]), pa.array(np.r_[node, snode]), pa.concat_arrays([pa.nulls(len(v), pa.int64()), pa.array(lead)])], ["band", "node", "lead"])
+
+    return words.select("skey", "words").mapInArrow(run, "band long, node long, lead long")
+
+
+def candidates(rows: DataFrame, star_above: int) -> DataFrame:
+    """Candidate pairs (a, b, hot): hot is a starred band value that the pair comes from, if any."""
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs of the nodes of each band value, from rows sorted by it; a long run becomes a star."""
@@ -252,14 +246,15 @@ def candidates(words: DataFrame, sketch: np.ndarray, n_rows: int, bands: int, wi
         members: list[int] = []
         hot = False
         for batch in batches:
-            v = batch.column(0).to_numpy()
-            node = batch.column(1).to_numpy()
+            tied = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
+            v, node, lead = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
+            a, b, h = lead.filter(pa.array(tied)).to_pylist(), node[tied].tolist(), v[tied].tolist()
+            v, node = v[~tied], node[~tied]
             begin = np.flatnonzero(np.r_[True, v[1:] != v[:-1]]) if len(v) else np.array([], dtype=np.int64)
             size = np.diff(np.r_[begin, len(v)])
             busy = size > 1
             if len(begin):
                 busy[0] = busy[-1] = True  # may go on in the neighbouring batch
-            a, b, h = [], [], []
             for s, c in zip(begin[busy].tolist(), size[busy].tolist()):
                 if v[s] != last_v:
                     last_v, members, hot = v[s], [], False
@@ -273,20 +268,16 @@ def candidates(words: DataFrame, sketch: np.ndarray, n_rows: int, bands: int, wi
                         b.append(x)
                         h.append(int(last_v))
                     else:
-                        for y in members:
-                            a.append(y)
-                            b.append(x)
-                            h.append(None)
+                        a += members
+                        b += [x] * len(members)
+                        h += [None] * len(members)
                         members.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(h, pa.int64())], ["a", "b", "hot"])
 
-    rows_path = scratch.put(words.select("skey", "words").mapInArrow(run, "band long, node long, lead long, sig8 binary").withColumn("kind", F.when(F.col("sig8").isNotNull(), "sig").when(F.col("lead").isNotNull(), "star").otherwise("band")), partition_by="kind")
-    rows = scratch.get(rows_path, "band long, node long, lead long, sig8 binary, kind string")
-    sigs = rows.where("kind = 'sig'").select(F.col("node").alias("skey"), "sig8").dropDuplicates(["skey"])
-    buckets = rows.where("kind = 'band'").select("band", "node").repartition("band").sortWithinPartitions("band", "node").mapInArrow(pair, "a long, b long, hot long")
-    stars = rows.where("kind = 'star'").select(F.col("lead").alias("a"), F.col("node").alias("b"), F.col("band").alias("hot"))
-    pairs = buckets.unionByName(stars).where("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("hot").alias("hot"))
-    return scratch.cut(pairs), sigs, rows
+    # Rows that are tied already need no bucket and are spread over all tasks.
+    to = F.when(F.col("lead").isNull(), F.col("band")).otherwise(F.col("node"))
+    pairs = rows.repartition(to).sortWithinPartitions("band", "node").mapInArrow(pair, "a long, b long, hot long")
+    return pairs.where("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("hot").alias("hot"))
 
 
 def _rebatched(batches: Iterator[pa.RecordBatch], least: int):
@@ -302,12 +293,6 @@ def _rebatched(batches: Iterator[pa.RecordBatch], least: int):
         yield keys, blobs
 
 
-def _alike(sig_a, sig_b) -> np.ndarray:
-    x = np.frombuffer(b"".join(sig_a), dtype=np.uint8).reshape(-1, 64)
-    y = np.frombuffer(b"".join(sig_b), dtype=np.uint8).reshape(-1, 64)
-    return (x == y).mean(axis=1)
-
-
 def similarity(a_words, b_words) -> np.ndarray:
     """Exact Jaccard similarity of pairs of sets of word hashes."""
     out = np.empty(len(a_words))
@@ -325,57 +310,47 @@ def similarity(a_words, b_words) -> np.ndarray:
     return out
 
 
-def verify(pairs: DataFrame, sigs: DataFrame, words: DataFrame, threshold: float, least_alike: float) -> DataFrame:
+def verify(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose word sets reach the threshold."""
 
-    def prefilter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                ok = _alike(batch.column(2).to_pylist(), batch.column(3).to_pylist()) >= least_alike
-                yield batch.select([0, 1]).filter(pa.array(ok))
-
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 sim = similarity(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-                kept = batch.select([0, 1]).filter(pa.array(sim >= threshold - 1e-12))
-                yield kept
+                yield batch.select([0, 1]).filter(pa.array(sim >= threshold - 1e-12))
 
-    short = pairs.select("a", "b").join(sigs.select(F.col("skey").alias("a"), F.col("sig8").alias("sa")), "a").join(sigs.select(F.col("skey").alias("b"), F.col("sig8").alias("sb")), "b")
-    near = short.select("a", "b", "sa", "sb").mapInArrow(prefilter, "a long, b long")
     one = words.groupBy("skey").agg(F.min("words").alias("words"))
-    full = near.join(one.select(F.col("skey").alias("a"), F.col("words").alias("wa")), "a").join(one.select(F.col("skey").alias("b"), F.col("words").alias("wb")), "b")
+    full = pairs.select("a", "b").join(one.select(F.col("skey").alias("a"), F.col("words").alias("wa")), "a").join(one.select(F.col("skey").alias("b"), F.col("words").alias("wb")), "b")
     return full.select("a", "b", "wa", "wb").mapInArrow(exact, "a long, b long")
 
 
-def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.6, bands: int = 32, width: int = 4, star_above: int = 32, least_alike: float = 0.15, sketch_bits: int = 22) -> DataFrame:
+def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.6, bands: int = 28, width: int = 3, star_above: int = 32, sketch_bits: int = 22) -> DataFrame:
     """(id, class) of every row that has a word: class is the least node key of its group of near duplicates.
 
     threshold     least Jaccard similarity of distinct words of two linked records
     bands, width  shape of the candidate search; bands * width slots make a signature
     star_above    texts of one band value from which on pairs are formed with a leader first
-    least_alike   share of 64 signature bytes in which a candidate pair must agree before it is verified
     sketch_bits   log2 of the counts in the frequency sketch (4 bytes each)
     """
     spark = df.sparkSession
     scratch = Scratch(spark, "neardup")
     words = scratch.cut(words_table(df, key, texts))
-    n_rows = words.count()
     sketch = frequency_sketch(words, sketch_bits)
-    pairs, sigs, rows = candidates(words, sketch, n_rows, bands, width, star_above, threshold, scratch)
-    links = scratch.cut(verify(pairs, sigs, words, threshold, least_alike))
-    groups = scratch.cut(components(links, scratch))
+    rows = band_rows(words, sketch, bands, width, star_above, threshold)
+    pairs = scratch.cut(candidates(rows, star_above))
+    links = scratch.cut(verify(pairs, words, threshold))
+    groups = components(links, scratch)
     if not pairs.where("hot is not null").isEmpty():
         # Starred buckets: compare in full what the stars left in different components.
+        groups = scratch.cut(groups)
         hot = pairs.where("hot is not null").select(F.col("hot").alias("band")).distinct()
-        all_rows = rows.where("kind <> 'sig'").select("band", "node").join(hot, "band").distinct()
-        labelled = all_rows.join(groups, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-        lead = labelled.groupBy("band").agg(F.mode("root", deterministic=True).alias("main"))
-        rest = labelled.join(lead, "band")
-        left = rest.where("root <> main").select("band", F.col("node").alias("a"), F.col("root").alias("ra"))
-        more = left.join(rest.select("band", F.col("node").alias("b"), F.col("root").alias("rb")), "band").where("ra <> rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        extra = scratch.cut(verify(more, sigs, words, threshold, least_alike))
-        groups = scratch.cut(components(links.unionByName(extra), scratch))
+        labelled = rows.select("band", "node").join(hot, "band", "left_semi").distinct().join(groups, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+        labelled = scratch.cut(labelled)
+        main = labelled.groupBy("band", "root").count().groupBy("band").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
+        left = labelled.join(main, "band").where("root <> main").select("band", F.col("node").alias("a"), F.col("root").alias("ra"))
+        more = left.join(labelled.select("band", F.col("node").alias("b"), F.col("root").alias("rb")), "band").where("ra <> rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        extra = scratch.cut(verify(scratch.cut(more), words, threshold))
+        groups = components(links.unionByName(extra), scratch)
     ids = words.select("id", "skey")
     return ids.join(groups.select(F.col("node").alias("skey"), "root"), "skey", "left").select("id", F.coalesce("root", "skey").alias("class"))
 
