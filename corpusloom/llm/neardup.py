@@ -181,7 +181,7 @@ def sign(hashes: np.ndarray, sizes: np.ndarray, level_of, slots: int) -> np.ndar
 
 
 def _band_rows(skeys: np.ndarray, sig: np.ndarray, bands: int, width: int, star_above: int):
-    """(band value, node, leader) rows of one batch: leader is null unless this task made a star of the band value."""
+    """(band value, node, leader, whether there is a leader) of one batch; a band value with many nodes has a leader."""
     bits = sig.view(np.uint64)
     value = np.zeros((len(skeys), bands), dtype=np.uint64)
     for k in range(width):
@@ -195,13 +195,11 @@ def _band_rows(skeys: np.ndarray, sig: np.ndarray, bands: int, width: int, star_
     size = np.diff(np.r_[begin, len(v)])
     lead = np.repeat(node[begin], size)
     hot = np.repeat(size > star_above, size)
-    plain = ~hot | (node == lead)
-    starred = hot & (node != lead)
-    return v[plain], node[plain], v[starred], node[starred], lead[starred]
+    return v, node, np.where(hot, lead, 0), hot
 
 
 def band_rows(words: DataFrame, sketch: np.ndarray, bands: int, width: int, star_above: int, threshold: float) -> DataFrame:
-    """(band, node, lead) rows of all nodes: lead is null but for nodes that their map task tied to a leader of the band value."""
+    """(band, node, lead) rows of all nodes: lead is null but where a map task tied a band value's nodes to a leader (itself among them)."""
     shared = words.sparkSession.sparkContext.broadcast(sketch)
     slots = bands * width
 
@@ -231,25 +229,30 @@ def band_rows(words: DataFrame, sketch: np.ndarray, bands: int, width: int, star
             if not len(k):
                 continue
             sig = np.ascontiguousarray(sign(hashes, sizes, level_of, slots))
-            v, node, sv, snode, lead = _band_rows(k, sig, bands, width, star_above)
-            yield pa.RecordBatch.from_arrays([pa.array(np.r_[v, sv]), pa.array(np.r_[node, snode]), pa.concat_arrays([pa.nulls(len(v), pa.int64()), pa.array(lead)])], ["band", "node", "lead"])
+            v, node, lead, hot = _band_rows(k, sig, bands, width, star_above)
+            yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(node), pa.array(lead, mask=~hot)], ["band", "node", "lead"])
 
     return words.select("skey", "words").mapInArrow(run, "band long, node long, lead long")
 
 
 def candidates(rows: DataFrame, star_above: int) -> DataFrame:
-    """Candidate pairs (a, b, hot): hot is a starred band value that the pair comes from, if any."""
+    """Candidate pairs (a, b, hot), each once for each hot: a starred band value that the pair comes from, else null.
+
+    The pairs of a starred band value tie all its nodes to one another, directly or through the leaders of map tasks.
+    """
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs of the nodes of each band value, from rows sorted by it; a long run becomes a star."""
+        """Pairs of the nodes of each band value, from rows sorted by it with leaders first; a long run becomes a star."""
         last_v = last_lead = None
         members: list[int] = []
         hot = False
         for batch in batches:
-            tied = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
-            v, node, lead = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
-            a, b, h = lead.filter(pa.array(tied)).to_pylist(), node[tied].tolist(), v[tied].tolist()
-            v, node = v[~tied], node[~tied]
+            v, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            led = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
+            lead = batch.column(2).fill_null(0).to_numpy()
+            tied = led & (lead != node)
+            a, b, h = lead[tied].tolist(), node[tied].tolist(), v[tied].tolist()
+            v, node, led = v[~tied], node[~tied], led[~tied]
             begin = np.flatnonzero(np.r_[True, v[1:] != v[:-1]]) if len(v) else np.array([], dtype=np.int64)
             size = np.diff(np.r_[begin, len(v)])
             busy = size > 1
@@ -257,13 +260,17 @@ def candidates(rows: DataFrame, star_above: int) -> DataFrame:
                 busy[0] = busy[-1] = True  # may go on in the neighbouring batch
             for s, c in zip(begin[busy].tolist(), size[busy].tolist()):
                 if v[s] != last_v:
-                    last_v, members, hot = v[s], [], False
+                    last_v, members, hot = v[s], [], bool(led[s])
                     last_lead = int(node[s])
                 for x in node[s : s + c].tolist():
                     if members and x == members[-1]:
                         continue
-                    if hot or len(members) >= star_above:
+                    if not hot and len(members) >= star_above:
                         hot = True
+                        a += [last_lead] * len(members)
+                        b += members
+                        h += [int(last_v)] * len(members)
+                    if hot:
                         a.append(last_lead)
                         b.append(x)
                         h.append(int(last_v))
@@ -274,10 +281,10 @@ def candidates(rows: DataFrame, star_above: int) -> DataFrame:
                         members.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(h, pa.int64())], ["a", "b", "hot"])
 
-    # Rows that are tied already need no bucket and are spread over all tasks.
-    to = F.when(F.col("lead").isNull(), F.col("band")).otherwise(F.col("node"))
-    pairs = rows.repartition(to).sortWithinPartitions("band", "node").mapInArrow(pair, "a long, b long, hot long")
-    return pairs.where("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("hot").alias("hot"))
+    # Nodes that are tied already need no bucket and are spread over all tasks.
+    to = F.when(F.col("lead") != F.col("node"), F.col("node")).otherwise(F.col("band"))
+    pairs = rows.repartition(to).sortWithinPartitions("band", F.col("lead").isNull(), "node").mapInArrow(pair, "a long, b long, hot long")
+    return pairs.where("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "hot").agg(F.lit(1).alias("one")).drop("one")
 
 
 def _rebatched(batches: Iterator[pa.RecordBatch], least: int):
@@ -336,21 +343,22 @@ def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.6, b
     scratch = Scratch(spark, "neardup")
     words = scratch.cut(words_table(df, key, texts))
     sketch = frequency_sketch(words, sketch_bits)
-    rows = band_rows(words, sketch, bands, width, star_above, threshold)
-    pairs = scratch.cut(candidates(rows, star_above))
-    links = scratch.cut(verify(pairs, words, threshold))
+    pairs = scratch.cut(candidates(band_rows(words, sketch, bands, width, star_above, threshold), star_above))
+    starred = pairs.where("hot is not null")
+    any_star = not starred.isEmpty()
+    links = scratch.cut(verify(pairs.select("a", "b").distinct() if any_star else pairs, words, threshold))
     groups = components(links, scratch)
-    if not pairs.where("hot is not null").isEmpty():
-        # Starred buckets: compare in full what the stars left in different components.
+    if any_star:
+        # Compare in full what the stars left in different components.
         groups = scratch.cut(groups)
-        hot = pairs.where("hot is not null").select(F.col("hot").alias("band")).distinct()
-        labelled = rows.select("band", "node").join(hot, "band", "left_semi").distinct().join(groups, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
-        labelled = scratch.cut(labelled)
+        nodes = starred.select(F.col("hot").alias("band"), F.explode(F.array("a", "b")).alias("node")).distinct()
+        labelled = scratch.cut(nodes.join(groups, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root")))
         main = labelled.groupBy("band", "root").count().groupBy("band").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
         left = labelled.join(main, "band").where("root <> main").select("band", F.col("node").alias("a"), F.col("root").alias("ra"))
         more = left.join(labelled.select("band", F.col("node").alias("b"), F.col("root").alias("rb")), "band").where("ra <> rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         extra = scratch.cut(verify(scratch.cut(more), words, threshold))
-        groups = components(links.unionByName(extra), scratch)
+        if not extra.isEmpty():
+            groups = components(links.unionByName(extra), scratch)
     ids = words.select("id", "skey")
     return ids.join(groups.select(F.col("node").alias("skey"), "root"), "skey", "left").select("id", F.coalesce("root", "skey").alias("class"))
 
