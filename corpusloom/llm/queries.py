@@ -4,6 +4,6 @@ from __future__ import annotations
 
 from corpusloom.queries import collect
 
-MODULES = ("q_neardup", "q_sizes", "q_text")
+MODULES = ("q_neardup", "q_language", "q_sizes", "q_text")
 
 QUERIES, SQL = collect(MODULES, "corpusloom.llm")
