@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("structure",)
+MODULES = ("structure", "text", "catalog")
 
 
 def collect(modules: tuple[str, ...] = MODULES, package: str = "corpusloom.queries") -> tuple[dict, dict]:
