@@ -7,6 +7,7 @@ same shared folder is computed once, is columnar and compressed, and survives th
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -69,6 +70,12 @@ class Scratch:
         _delete(self.spark, path)
 
 
+def release(spark: SparkSession) -> None:
+    """Asks the driver's JVM to look for finished shuffles now, so that executors can delete their files before the next step."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def with_dense_ids(scratch: Scratch, df: DataFrame, name: str = "id") -> DataFrame:
     """df with a unique long per row, fixed by writing the table once."""
     return scratch.cut(df.withColumn(name, F.monotonically_increasing_id()))
