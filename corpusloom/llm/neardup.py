@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.durable import Scratch
+from corpusloom.durable import Scratch, release
 from corpusloom.llm.components import components
 
 _WORD = re.compile(r"[^\W_]+")
@@ -52,10 +52,6 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _pack(hashes: list[int]) -> bytes:
-    return np.array(sorted(hashes), dtype="<u8").view(np.uint8).reshape(-1, 8)[:, :BYTES].tobytes()
-
-
 def _unpack(blobs) -> tuple[np.ndarray, np.ndarray]:
     """All hashes of the blobs after each other, and the number of each."""
     sizes = np.array([len(b) // BYTES for b in blobs], dtype=np.int64)
@@ -72,23 +68,26 @@ def words_table(df: DataFrame, key: str, texts: list[str]) -> DataFrame:
         known: dict[str, int] = {}
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
-            ids, keys, blobs = [], [], []
+            ids, sizes, flat = [], [], []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = set(_WORD.findall(text.lower()))
                 if not found:
                     continue
-                hashes = []
                 for w in found:
                     h = known.get(w)
                     if h is None:
                         h = known[w] = digest(w) & MASK
-                    hashes.append(h)
-                blob = _pack(hashes)
+                    flat.append(h)
                 ids.append(i)
-                keys.append(digest(blob) - (1 << 63))
-                blobs.append(blob)
+                sizes.append(len(found))
             if len(known) > 2_000_000:
                 known.clear()
+            hashes = np.array(flat, dtype="<u8")
+            hashes = hashes[np.lexsort((hashes, np.repeat(np.arange(len(sizes)), sizes)))]
+            packed = hashes.view(np.uint8).reshape(-1, 8)[:, :BYTES].tobytes()
+            ends = np.cumsum(sizes) * BYTES
+            blobs = [packed[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())] if sizes else []
+            keys = [digest(b) - (1 << 63) for b in blobs]
             yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field(0).type), pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], ["id", "skey", "words"])
 
     text = F.concat_ws(" ", *[F.coalesce(F.col(t), F.lit("")) for t in texts])
@@ -133,10 +132,10 @@ def _points(words: np.ndarray, level: np.ndarray, slots: int, block: int, time:
         if not len(rows):
             continue
         rate = slots * 2.0 ** -(j + (j < DEPTH))  # interval j is the upper half of [0, 2**-j), the last one is [0, 2**-DEPTH)
-        n = (int(1.5 * rate) + 3) << block
-        at = np.uint64(j << 40) + np.uint64((int(1.5 * rate) + 3) * ((1 << block) - 1)) + np.arange(n, dtype=np.uint64)
+        n = (int(rate) + 3) << block
+        at = np.uint64(j << 40) + np.uint64((int(rate) + 3) * ((1 << block) - 1)) + np.arange(n, dtype=np.uint64)
         h = _mix(words[rows, None] * np.uint64(0xD1342543DE82EF95) + at[None, :])
-        gap = -np.log1p(-((h >> np.uint64(32)).astype(np.float64) / 2.0**32)) / rate
+        gap = np.log((((h >> np.uint64(40)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-24))).astype(np.float64) / -rate
         when = time[rows, j, None] + np.cumsum(gap, axis=1)
         slot = ((h & np.uint64(0xFFFFFFFF)) * np.uint64(slots) >> np.uint64(32)).astype(np.int64)
         np.minimum.at(first.reshape(-1), (rows[:, None] * slots + slot).ravel(), when.ravel())
@@ -211,7 +210,7 @@ def band_rows(words: DataFrame, sketch: np.ndarray, bands: int, width: int, star
             return levels(counts[(h & mask).astype(np.int64)].astype(np.float64))
 
         seen: set[int] = set()
-        for keys, blobs in _rebatched(batches, 16_384):
+        for keys, blobs in _rebatched(batches, 32_768):
             new = []
             for i, k in enumerate(keys):
                 if k not in seen:
@@ -331,7 +330,7 @@ def verify(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
     return full.select("a", "b", "wa", "wb").mapInArrow(exact, "a long, b long")
 
 
-def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.6, bands: int = 28, width: int = 3, star_above: int = 32, sketch_bits: int = 22) -> DataFrame:
+def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.6, bands: int = 36, width: int = 3, star_above: int = 32, sketch_bits: int = 22) -> DataFrame:
     """(id, class) of every row that has a word: class is the least node key of its group of near duplicates.
 
     threshold     least Jaccard similarity of distinct words of two linked records
@@ -344,6 +343,7 @@ def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.6, b
     words = scratch.cut(words_table(df, key, texts))
     sketch = frequency_sketch(words, sketch_bits)
     pairs = scratch.cut(candidates(band_rows(words, sketch, bands, width, star_above, threshold), star_above))
+    release(spark)
     starred = pairs.where("hot is not null")
     any_star = not starred.isEmpty()
     links = scratch.cut(verify(pairs.select("a", "b").distinct() if any_star else pairs, words, threshold))
