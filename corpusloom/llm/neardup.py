@@ -126,7 +126,7 @@ def levels(df: np.ndarray) -> np.ndarray:
 
 def _points(words: np.ndarray, level: np.ndarray, slots: int, block: int, time: np.ndarray) -> np.ndarray:
     """First arrivals per slot (inf where none) in the block-th points of each word; moves time (word x interval) on."""
-    first = np.full((len(words), slots), np.inf)
+    first = np.full((len(words), slots), np.inf, dtype=np.float32)
     for j in range(DEPTH + 1):
         rows = np.flatnonzero(level <= j)
         if not len(rows):
@@ -138,7 +138,7 @@ def _points(words: np.ndarray, level: np.ndarray, slots: int, block: int, time:
         gap = np.log((((h >> np.uint64(40)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-24))).astype(np.float64) / -rate
         when = time[rows, j, None] + np.cumsum(gap, axis=1)
         slot = ((h & np.uint64(0xFFFFFFFF)) * np.uint64(slots) >> np.uint64(32)).astype(np.int64)
-        np.minimum.at(first.reshape(-1), (rows[:, None] * slots + slot).ravel(), when.ravel())
+        np.minimum.at(first.reshape(-1), (rows[:, None] * slots + slot).ravel(), when.ravel().astype(np.float32))
         time[rows, j] = when[:, -1]
     return first
 
@@ -147,7 +147,7 @@ def sign(hashes: np.ndarray, sizes: np.ndarray, level_of, slots: int) -> np.ndar
     """Signatures, one row of slots per set of word hashes; rows whose words all weigh nothing are inf."""
     vocab, inverse = np.unique(hashes, return_inverse=True)
     level = level_of(vocab)
-    out = np.full((len(sizes), slots), np.inf)
+    out = np.full((len(sizes), slots), np.inf, dtype=np.float32)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     use = level[inverse] < NONE
     inverse, owner = inverse[use], owner[use]
@@ -156,7 +156,7 @@ def sign(hashes: np.ndarray, sizes: np.ndarray, level_of, slots: int) -> np.ndar
     block = 0
     while len(owner):
         used, local = np.unique(inverse, return_inverse=True)
-        first = np.empty((len(used), slots), dtype=np.float64)
+        first = np.empty((len(used), slots), dtype=np.float32)
         for s in range(0, len(used), 2048):
             w = used[s : s + 2048]
             t = time[w]
@@ -166,10 +166,11 @@ def sign(hashes: np.ndarray, sizes: np.ndarray, level_of, slots: int) -> np.ndar
         docs = owner[begins]
         ends = np.r_[begins[1:], len(owner)]
         reached = np.minimum.reduceat(time.min(axis=1)[inverse], begins)
-        for s in range(0, len(docs), 2048):
-            b, e = begins[s], ends[min(s + 2048, len(docs)) - 1]
-            got = np.minimum.reduceat(first[local[b:e]], begins[s : s + 2048] - b, axis=0)
-            d = docs[s : s + 2048]
+        step = 128  # so that what is gathered stays in the cache
+        for s in range(0, len(docs), step):
+            b, e = begins[s], ends[min(s + step, len(docs)) - 1]
+            got = np.minimum.reduceat(first[local[b:e]], begins[s : s + step] - b, axis=0)
+            d = docs[s : s + step]
             out[d] = np.minimum(out[d], got)
         # A slot is decided once no word can still reach it earlier.
         keep = np.zeros(len(sizes), dtype=bool)
@@ -181,14 +182,16 @@ def sign(hashes: np.ndarray, sizes: np.ndarray, level_of, slots: int) -> np.ndar
 
 def _band_rows(skeys: np.ndarray, sig: np.ndarray, bands: int, width: int, star_above: int):
     """(band value, node, leader, whether there is a leader) of one batch; a band value with many nodes has a leader."""
-    bits = sig.view(np.uint64)
+    by_node = np.argsort(skeys)
+    skeys = skeys[by_node]
+    bits = sig[by_node].view(np.uint32).astype(np.uint64)
     value = np.zeros((len(skeys), bands), dtype=np.uint64)
     for k in range(width):
         value = _mix(value ^ bits[:, k * bands : (k + 1) * bands])
     value = _mix(value + np.arange(bands, dtype=np.uint64)[None, :])
     v = value.ravel().view(np.int64)
     node = np.repeat(skeys, bands)
-    order = np.lexsort((node, v))
+    order = np.argsort(v, kind="stable")
     v, node = v[order], node[order]
     begin = np.flatnonzero(np.r_[True, v[1:] != v[:-1]])
     size = np.diff(np.r_[begin, len(v)])
@@ -330,7 +333,7 @@ def verify(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
     return full.select("a", "b", "wa", "wb").mapInArrow(exact, "a long, b long")
 
 
-def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.6, bands: int = 36, width: int = 3, star_above: int = 32, sketch_bits: int = 22) -> DataFrame:
+def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.6, bands: int = 32, width: int = 3, star_above: int = 32, sketch_bits: int = 22) -> DataFrame:
     """(id, class) of every row that has a word: class is the least node key of its group of near duplicates.
 
     threshold     least Jaccard similarity of distinct words of two linked records
