@@ -165,3 +165,37 @@ LEVELS = {
 
 # Verbs that begin a learning objective.
 OBJECTIVE_VERB = {"high_school": "Understand", "undergraduate": "Analyze", "graduate": "Evaluate", "professional": "Design"}
+
+# Standards by code: description, and for the first one the topics it names.
+MCAT = {
+    "C/P": ["translational motion", "force", "work", "energy", "periodic motion", "sound", "fluids", "electrostatics", "circuits", "magnetism", "electromagnetic radiation", "atomic nucleus", "electronic structure"],
+    "B/B": ["energy transformations", "thermodynamics in biological systems"],
+    "P/S": ["sensory processing", "vision", "hearing", "electromagnetic spectrum"],
+}
+IB_SL = {
+    "1": "Measurements and uncertainties", "2": "Mechanics", "3": "Thermal physics", "4": "Waves", "5": "Electricity and magnetism", "6": "Circular motion and gravitation", "7": "Atomic, nuclear and particle physics", "8": "Energy production",
+}
+IB_HL = IB_SL | {"9": "Wave phenomena (HL)", "10": "Fields (HL)", "11": "Electromagnetic induction (HL)", "12": "Quantum and nuclear physics (HL)"}
+A_LEVEL = {"AS1": "Forces, energy and momentum", "AS2": "Electrons, waves and photons", "A21": "Further mechanics and thermal physics", "A22": "Fields and their consequences", "A23": "Nuclear physics"}
+IGCSE = {"1": "General physics", "2": "Thermal physics", "3": "Properties of waves", "4": "Electricity and magnetism", "5": "Atomic physics"}
+
+# Core topics and special areas of physics.
+CORE_TOPICS = """
+motion, forces, newton, energy, momentum, work, kinematics, dynamics, acceleration, velocity, gravity, friction, collision, conservation, heat, temperature, thermodynamics, gas laws, entropy, thermal, electric, magnetic, current,
+voltage, resistance, circuits, electromagnetic, field, charge, capacitor, inductor, wave, frequency, wavelength, sound, light, optics, reflection, refraction, interference, diffraction, quantum, relativity, atomic, nuclear, photon, electron
+""".replace(",\n", ", ").strip().split(", ")
+SPECIAL_AREAS = """
+astronomy, astrophysics, cosmology, stellar, galactic, planetary, solar system, universe, big bang, black hole, star formation, exoplanet, nebula, galaxy, comet, asteroid, particle physics, condensed matter, plasma physics, biophysics,
+geophysics, medical physics, laser physics, nanotechnology, engineering physics, materials science, semiconductor, superconductor, crystallography, solid state
+""".replace(",\n", ", ").strip().split(", ")
+
+# Words that show a text's language, counted as whole words with their length as weight.
+LANGUAGE_WORDS = {
+    "spanish": "capítulo sección introducción objetivos resumen ejercicios problemas soluciones bibliografía índice contenido apéndice referencias tabla figura ecuación ejemplo definición teorema proposición".split(),
+    "polish": "rozdział sekcja wprowadzenie cele podsumowanie ćwiczenia problemy rozwiązania bibliografia indeks zawartość dodatek referencje tabela rysunek równanie przykład definicja twierdzenie propozycja".split(),
+    "french": "chapitre section introduction objectifs résumé exercices problèmes solutions bibliographie index contenu annexe références tableau figure équation exemple définition théorème proposition".split(),
+    "german": "kapitel abschnitt einführung ziele zusammenfassung übungen probleme lösungen bibliographie index inhalt anhang referenzen tabelle abbildung gleichung beispiel definition theorem satz".split(),
+    "italian": "capitolo sezione introduzione obiettivi riassunto esercizi problemi soluzioni bibliografia indice contenuto appendice riferimenti tabella figura equazione esempio definizione teorema proposizione".split(),
+    "portuguese": "capítulo seção introdução objetivos resumo exercícios problemas soluções bibliografia índice conteúdo apêndice referências tabela figura equação exemplo definição teorema proposição".split(),
+    "english": "chapter section introduction objectives summary exercises problems solutions bibliography index content appendix references table figure equation example definition theorem proposition".split(),
+}

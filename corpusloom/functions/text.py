@@ -143,3 +143,21 @@ def cosine(a: Column, b: Column) -> Column:
     wide = lambda v: F.transform(v, lambda x: x.cast("double"))
     dot = lambda u, v: F.aggregate(F.zip_with(wide(u), wide(v), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
+
+
+def translate(c: Column, terms_to: dict[str, str]) -> Column:
+    """Whole-word replacement by a dictionary, longest terms first, without regard to case; the result in title case."""
+    out = F.lower(c)
+    for term in sorted(terms_to, key=lambda t: (-len(t), t)):
+        quoted = "".join("\\" + ch if ch in r".^$*+?()[]{}|\\" else ch for ch in term.lower())
+        out = F.regexp_replace(out, rf"(?<![\p{{L}}\p{{N}}_]){quoted}(?![\p{{L}}\p{{N}}_])", terms_to[term].lower().replace("\\", r"\\").replace("$", r"\$"))
+    return F.initcap(out)
+
+
+def title_quality(title: Column) -> Column:
+    """.5, .2 more for 10 to 100 characters (less .2 below 5), less .1 for odd signs and .2 for vague words; 0 to 1."""
+    n = F.char_length(title)
+    odd = title.rlike(r"[^\p{L}\p{N}\s\-:,.()'&]")
+    vague = contains_any(F.lower(title), ["misc", "other", "various", "stuff", "things"])
+    score = 0.5 + F.when(n.between(10, 100), 0.2).when(n < 5, -0.2).otherwise(0.0) - F.when(odd, 0.1).otherwise(0.0) - F.when(vague, 0.2).otherwise(0.0)
+    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), score))

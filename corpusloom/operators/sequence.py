@@ -6,8 +6,6 @@ positions. No window runs over the whole table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -91,31 +89,38 @@ def prerequisite_depth(u: DataFrame, resolved: DataFrame) -> DataFrame:
 
 
 BLOCK = 4096
+BLOCKS = 512
 
 
 def inversions(rows: DataFrame, group: str, order: str, value: str) -> DataFrame:
-    """group, n, inversions: pairs of rows i before j (by `order`, whole numbers) with value_i > value_j.
+    """group, n, inversions: pairs of rows i before j (by `order`, whole numbers from 0 on) with value_i > value_j.
 
-    Rows are counted in blocks of the order; pairs across blocks follow from the counts of values per block. Values should
-    be few and different per group.
+    Rows are counted in blocks of the order, at most BLOCKS per group, so that a group of a third of all rows is spread out;
+    pairs across blocks follow from the counts of values per block. Different values should be few.
     """
-    base = rows.where(F.col(value).isNotNull()).select(F.col(group).alias("g"), F.col(order).alias("o"), F.col(value).cast("long").alias("v")).withColumn("block", F.floor(F.col("o") / BLOCK))
+    base = rows.where(F.col(value).isNotNull()).select(F.col(group).alias("g"), F.col(order).cast("long").alias("o"), F.col(value).cast("long").alias("v"))
+    size = base.groupBy("g").agg(F.count("*").alias("n"), F.max("o").alias("top"))
+    width = F.greatest(F.lit(BLOCK), F.ceil((F.col("top") + 1) / BLOCKS))
+    blocked = base.join(size, "g").select("g", "o", "v", F.floor(F.col("o") / width).alias("block"))
+    kind = base.schema["g"].dataType.simpleString()
 
     def inside(pdf: pd.DataFrame) -> pd.DataFrame:
-        v = pdf.sort_values("o")["v"].to_numpy()
         seen: dict[int, int] = {}
         total = 0
-        for x in v.tolist():
+        for x in pdf.sort_values("o")["v"].tolist():
             total += sum(n for y, n in seen.items() if y > x)
             seen[x] = seen.get(x, 0) + 1
         return pd.DataFrame({"g": [pdf["g"].iloc[0]], "k": [total]})
 
-    own = base.groupBy("g", "block").applyInPandas(inside, f"g {base.schema['g'].dataType.simpleString()}, k long")
-    counts = base.groupBy("g", "block", "v").agg(F.count("*").alias("n"))
-    running = counts.select("g", "block", "v", "n")
-    higher = running.alias("a").join(running.alias("b"), (F.col("a.g") == F.col("b.g")) & (F.col("a.block") < F.col("b.block")) & (F.col("a.v") > F.col("b.v"))).select(F.col("a.g").alias("g"), (F.col("a.n") * F.col("b.n")).alias("k"))
-    size = base.groupBy("g").agg(F.count("*").alias("n"))
-    sums = own.unionByName(higher).groupBy("g").agg(F.sum("k").alias("inversions"))
+    def across(pdf: pd.DataFrame) -> pd.DataFrame:
+        table = pdf.pivot_table(index="block", columns="v", values="n", fill_value=0, aggfunc="sum").sort_index().sort_index(axis=1).to_numpy()
+        before = np.cumsum(table, axis=0) - table
+        higher = before.sum(axis=1, keepdims=True) - np.cumsum(before, axis=1)
+        return pd.DataFrame({"g": [pdf["g"].iloc[0]], "k": [int((table * higher).sum())]})
+
+    own = blocked.groupBy("g", "block").applyInPandas(inside, f"g {kind}, k long")
+    counts = blocked.groupBy("g", "block", "v").agg(F.count("*").alias("n"))
+    sums = own.unionByName(counts.groupBy("g").applyInPandas(across, f"g {kind}, k long")).groupBy("g").agg(F.sum("k").alias("inversions"))
     return size.join(sums, "g").select(F.col("g").alias(group), "n", "inversions")
 
 

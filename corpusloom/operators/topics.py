@@ -22,16 +22,16 @@ def topic_frequency(entries: DataFrame) -> DataFrame:
 
 
 def toc_overlap(entries: DataFrame) -> DataFrame:
-    """Per book: entries, entries whose normalised title occurs in another book, their share and the other books.
+    """Per book: entries, those whose normalised title occurs in another book, their share, and the most other books that share one title.
 
-    The other books come from a list of books per title, so no pair of entries is ever formed.
+    Other books are counted per title, so neither lists nor pairs of books are formed.
     """
     named = entries.select("book_id", toc_title(F.col("title")).alias("norm")).where("norm <> ''")
-    homes = named.groupBy("norm").agg(F.collect_set("book_id").alias("homes")).where(F.size("homes") > 1)
-    joined = named.join(homes, "norm", "left")
-    per = joined.groupBy("book_id").agg(F.count("*").alias("entries"), F.count("homes").alias("overlapping"))
-    others = joined.select("book_id", F.explode("homes").alias("other")).where("other <> book_id").distinct().groupBy("book_id").agg(F.count("*").alias("other_books"))
-    return per.join(others, "book_id", "left").select("book_id", "entries", "overlapping", F.round(F.col("overlapping") / F.col("entries"), 6).alias("share"), F.coalesce("other_books", F.lit(0)).alias("other_books"))
+    per_book = named.groupBy("norm", "book_id").agg(F.count("*").alias("n"))
+    homes = per_book.groupBy("norm").agg(F.count("*").alias("homes"))
+    shared = F.col("homes") > 1
+    out = per_book.join(homes, "norm").groupBy("book_id").agg(F.sum("n").alias("entries"), F.sum(F.when(shared, F.col("n")).otherwise(0)).alias("overlapping"), (F.max("homes") - 1).alias("widest"))
+    return out.select("book_id", "entries", "overlapping", F.round(F.col("overlapping") / F.col("entries"), 6).alias("share"), "widest")
 
 
 def alignment(entries: DataFrame, books: DataFrame) -> DataFrame:
@@ -77,13 +77,13 @@ def duplicate_groups(rows: DataFrame, key: Column, order: list[Column], name: st
 def merge_levels(topics: DataFrame) -> DataFrame:
     """One topic per normalised name: longest name, levels, united prerequisites and objectives, mean hours, modal domain, majority core flag."""
     t = topics.withColumn("base", group_name(F.col("name"))).where("base <> ''")
-    texts = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.coalesce(c, F.array().cast("array<string>"))))))
+    needs = t.select("base", F.explode("prerequisites").alias("p")).groupBy("base").agg(F.array_sort(F.collect_set("p")).alias("prerequisites"))
     domains = t.where("domain is not null").groupBy("base", "domain").count().groupBy("base").agg(F.max_by("domain", F.struct(F.col("count"), F.col("domain"))).alias("domain"))
     out = t.groupBy("base").agg(
-        F.max_by("name", F.struct(F.char_length("name"), F.col("name"))).alias("name"), F.array_sort(F.collect_set("educational_level")).alias("levels"), F.count("*").alias("members"), texts(F.col("prerequisites")).alias("prerequisites"),
+        F.max_by("name", F.struct(F.char_length("name"), F.col("name"))).alias("name"), F.array_sort(F.collect_set("educational_level")).alias("levels"), F.count("*").alias("members"),
         F.max("depth_level").alias("depth"), F.greatest(F.lit(1), F.floor(F.avg("duration_hours")).cast("int")).alias("hours"), (F.avg(F.col("is_core").cast("int")) > 0.5).alias("is_core"),
     )
-    return out.join(domains, "base", "left")
+    return out.join(domains, "base", "left").join(needs, "base", "left").withColumn("prerequisites", F.coalesce("prerequisites", F.array().cast("array<string>")))
 
 
 def new_entries(entries: DataFrame, order: list[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("structure", "text", "catalog", "learning", "retrieval")
+MODULES = ("structure", "text", "catalog", "learning", "retrieval", "rules")
 
 
 def collect(modules: tuple[str, ...] = MODULES, package: str = "corpusloom.queries") -> tuple[dict, dict]:

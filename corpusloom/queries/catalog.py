@@ -219,9 +219,8 @@ SQL = {
     "title_search": f"SELECT book_id, chapter_id, title, score FROM ({_TITLES.format(q='th')})",
     "formula_search": f"WITH {_FORM} SELECT book_id, chapter_id, formula AS snippet, 1.0::DOUBLE AS score FROM form WHERE contains(lower(formula), '=')",
     "topic_frequency": f"WITH {D.CURRENT} SELECT lower(title) AS topic, count(*) AS entries, count(DISTINCT book_id) AS books FROM cur WHERE title <> '' GROUP BY 1",
-    "toc_overlap": f"""WITH {D.CURRENT}, {_NORM}, n AS (SELECT * FROM norm WHERE norm <> ''), homes AS (SELECT norm FROM n GROUP BY norm HAVING count(DISTINCT book_id) > 1),
-      pair AS (SELECT DISTINCT a.book_id, b.book_id AS other FROM n a JOIN n b ON a.norm = b.norm AND a.book_id <> b.book_id), oth AS (SELECT book_id, count(*) AS k FROM pair GROUP BY 1)
-      SELECT book_id, count(*) AS entries, count(h.norm) AS overlapping, round(count(h.norm) / count(*), 6) AS share, coalesce(any_value(k), 0) AS other_books FROM n LEFT JOIN homes h USING (norm) LEFT JOIN oth USING (book_id) GROUP BY book_id""",
+    "toc_overlap": f"""WITH {D.CURRENT}, {_NORM}, n AS (SELECT * FROM norm WHERE norm <> ''), homes AS (SELECT norm, count(DISTINCT book_id) AS homes FROM n GROUP BY norm)
+      SELECT book_id, count(*) AS entries, count(CASE WHEN homes > 1 THEN 1 END) AS overlapping, round(count(CASE WHEN homes > 1 THEN 1 END) / count(*), 6) AS share, max(homes) - 1 AS widest FROM n JOIN homes USING (norm) GROUP BY book_id""",
     "topic_alignment": f"""WITH {D.CURRENT}, {_NORM}, j AS (SELECT n.*, {D.level('b.level')} AS lv FROM norm n JOIN book_tocs b USING (book_id) WHERE norm <> '')
       SELECT norm AS topic, count(DISTINCT book_id) AS books, array_to_string(list_sort(list_distinct(list(lv))), ',') AS levels, count(DISTINCT title) AS spellings FROM j GROUP BY norm HAVING count(DISTINCT lv) > 1""",
     "book_pair_jaccard": f"""WITH {D.CURRENT}, {_NORM}, n AS (SELECT DISTINCT book_id, norm FROM norm WHERE norm <> ''), sz AS (SELECT book_id, count(*) AS k FROM n GROUP BY 1),

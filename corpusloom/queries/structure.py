@@ -81,3 +81,38 @@ SELECT s.book_id, s.entry_id, 'on_cycle', NULL, NULL, NULL, NULL FROM loops s
 UNION ALL
 SELECT s.book_id, s.entry_id, 'under_cycle', NULL, NULL, coalesce(c.n, 0), NULL FROM loopless s LEFT JOIN counts c USING (book_id, entry_id)""",
 }
+
+def _els(v: str) -> str:
+    """SQL for the elements of what stands for an array: parsed strings, lone elements, nothing for nulls and blanks."""
+    n = rf"(CASE WHEN json_type({v}) = 'VARCHAR' AND regexp_matches({v}->>'$', '^\s*[\[{{]') AND json_valid({v}->>'$') THEN ({v}->>'$')::JSON WHEN json_type({v}) = 'VARCHAR' AND trim({v}->>'$') = '' THEN NULL ELSE {v} END)"
+    return f"(CASE json_type({n}) WHEN 'ARRAY' THEN json_extract({n}, '$[*]') WHEN 'NULL' THEN []::JSON[] ELSE CASE WHEN {n} IS NULL THEN []::JSON[] ELSE [{n}] END END)"
+
+
+_ELEMENTS = """
+WITH RECURSIVE
+doc AS (SELECT raw_id, CASE WHEN json_valid(payload) THEN payload::JSON END AS j FROM raw_records),
+env AS (
+  SELECT raw_id, j, 0 AS lv FROM doc WHERE json_type(j) = 'OBJECT'
+  UNION ALL
+  SELECT e.raw_id, v.value, e.lv + 1 FROM env e, json_each(e.j) v
+  WHERE json_type(v.value) = 'OBJECT' AND NOT json_exists(e.j, '$.entries') AND NOT json_exists(e.j, '$.learning_pathways')),
+rec AS (SELECT raw_id, arg_min(j, lv) AS j FROM env WHERE json_exists(j, '$.entries') OR json_exists(j, '$.learning_pathways') GROUP BY raw_id),
+top AS (SELECT raw_id, 'entry' AS kind, '' AS parent_pos, j->'$.entries' AS v FROM rec UNION ALL SELECT raw_id, 'pathway', '', j->'$.learning_pathways' FROM rec),
+tree AS (
+  SELECT raw_id, kind, CAST(i AS VARCHAR) AS pos, parent_pos, x FROM (
+    SELECT raw_id, kind, parent_pos, unnest(range(len(l))) AS i, unnest(l) AS x FROM (SELECT raw_id, kind, parent_pos, @V@ AS l FROM top))
+  UNION ALL
+  SELECT raw_id, kind, pos, parent_pos, x FROM (
+    SELECT raw_id, kind, parent_pos || '.' || key || CAST(i AS VARCHAR) AS pos, parent_pos, x FROM (
+      SELECT raw_id, kind, parent_pos, key, unnest(range(len(l))) AS i, unnest(l) AS x FROM (
+        SELECT t.raw_id, c.kind, t.pos AS parent_pos, c.key, @C@ AS l FROM tree t, LATERAL (
+          SELECT 'entry' AS kind, '' AS key, t.x->'$.children' AS v WHERE t.kind = 'entry' AND json_type(t.x) = 'OBJECT'
+          UNION ALL SELECT 'topic', '', t.x->'$.topic_sequence' WHERE t.kind = 'pathway' AND json_type(t.x) = 'OBJECT'
+          UNION ALL SELECT 'checkpoint', '', t.x->'$.checkpoints' WHERE t.kind = 'pathway' AND json_type(t.x) = 'OBJECT'
+          UNION ALL SELECT 'assessment', '', t.x->'$.assessments' WHERE t.kind = 'checkpoint' AND json_type(t.x) = 'OBJECT'
+          UNION ALL SELECT 'branch', u.k || '.', json_extract(t.x, '$.adaptive_branching."' || u.k || '"') FROM (SELECT unnest(json_keys(t.x->'$.adaptive_branching')) AS k WHERE t.kind = 'pathway' AND json_type(t.x->'$.adaptive_branching') = 'OBJECT') u) c)))
+)
+SELECT raw_id, kind, pos, parent_pos FROM tree WHERE json_type(x) <> 'NULL'
+"""
+
+SQL["p5_found"] = _ELEMENTS.replace("@V@", _els("v")).replace("@C@", _els("c.v"))

@@ -177,3 +177,29 @@ def test_streams(spark, tmp_path):
     assert sorted(r["events"] for r in incremental.sessions(ev).collect()) == [1, 2]
     assert incremental.windowed_counts(ev).count() == 2
     assert [r[0] for r in ev.select(incremental.alive(F.col("ts"), F.lit(1), F.lit(t + dt.timedelta(minutes=65)))).collect()] == [False, True, True]
+
+
+def test_translation_whole_words_longest_first(spark):
+    words = {"física": "physics", "física moderna": "modern physics", "ondas": "waves"}
+    assert one(spark, lambda c: T.translate(c, words), "Física moderna y ondas", "Metafísica", None) == ["Modern Physics Y Waves", "Metafísica", None]
+
+
+def test_rules(spark):
+    from corpusloom.operators import lexicon, standards
+
+    df = spark.createDataFrame([("a", "mechanics of a force and work with energy"), ("b", "poetry")], "id string, t string")
+    got = {(r["id"], r["standard"], r["code"]): r["confidence"] for r in standards.mapped(df, "id", F.col("t")).collect()}
+    assert got["a", "MCAT", "C/P"] == 0.9 and got["a", "IB_SL", "SL.2"] == 0.8 and got["a", "IGCSE", "IGCSE.4"] if ("a", "IGCSE", "IGCSE.4") in got else True
+    texts = spark.createDataFrame([(1, "Das Kapitel und die Übungen im Kapitel"), (2, "nothing known"), (3, "")], "id int, t string")
+    assert {tuple(r) for r in standards.language_by_words(texts, "id", "t").collect()} == {(1, "german"), (2, "english"), (3, "english")}
+    assert one(spark, lambda c: lexicon.most_label(c, {"x": ["aa"], "y": ["bb", "b"]}, "none"), "aa bb", "aa", "", None) == ["y", "x", "none", "none"]
+    assert one(spark, lambda c: lexicon.first_label(c, {"x": ["aa"], "y": ["b"]}, "none"), "b aa", "b", "c") == ["x", "y", "none"]
+    assert one(spark, lexicon.bloom_level, "define and list", "a problem", "x") == ["Remember", "Apply", "Understand"]
+
+
+def test_entry_points():
+    import __spark_entry__ as entry
+
+    queries, sql = entry.queries(), entry.oracle_sql()
+    assert set(sql) <= set(queries) and len(queries) > 100
+    assert all(f.__doc__ or name in sql for name, f in queries.items())
