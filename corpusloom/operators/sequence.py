@@ -6,8 +6,11 @@ positions. No window runs over the whole table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -101,16 +104,24 @@ def inversions(rows: DataFrame, group: str, order: str, value: str) -> DataFrame
     base = rows.where(F.col(value).isNotNull()).select(F.col(group).alias("g"), F.col(order).cast("long").alias("o"), F.col(value).cast("long").alias("v"))
     size = base.groupBy("g").agg(F.count("*").alias("n"), F.max("o").alias("top"))
     width = F.greatest(F.lit(BLOCK), F.ceil((F.col("top") + 1) / BLOCKS))
-    blocked = base.join(size, "g").select("g", "o", "v", F.floor(F.col("o") / width).alias("block"))
+    blocked = base.join(size, "g").select("g", "o", "v", F.floor(F.col("o") / width).alias("block"), (F.col("top") >= width).alias("many"))
     kind = base.schema["g"].dataType.simpleString()
 
-    def inside(pdf: pd.DataFrame) -> pd.DataFrame:
-        seen: dict[int, int] = {}
-        total = 0
-        for x in pdf.sort_values("o")["v"].tolist():
-            total += sum(n for y, n in seen.items() if y > x)
-            seen[x] = seen.get(x, 0) + 1
-        return pd.DataFrame({"g": [pdf["g"].iloc[0]], "k": [total]})
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One total per block, from rows sorted by group, block and order."""
+        now, g, seen, total = None, None, {}, 0
+        for batch in batches:
+            out: list = []
+            for key, block, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                if (key, block) != now:
+                    out.append((g, total))
+                    now, g, seen, total = (key, block), key, {}, 0
+                total += sum([n for y, n in seen.items() if y > v])
+                seen[v] = seen.get(v, 0) + 1
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], batch.schema.field(0).type), pa.array([t for _, t in out], pa.int64())], ["g", "k"])
+            last = batch.schema.field(0).type
+        if now is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([g], last), pa.array([total], pa.int64())], ["g", "k"])
 
     def across(pdf: pd.DataFrame) -> pd.DataFrame:
         table = pdf.pivot_table(index="block", columns="v", values="n", fill_value=0, aggfunc="sum").sort_index().sort_index(axis=1).to_numpy()
@@ -118,10 +129,10 @@ def inversions(rows: DataFrame, group: str, order: str, value: str) -> DataFrame
         higher = before.sum(axis=1, keepdims=True) - np.cumsum(before, axis=1)
         return pd.DataFrame({"g": [pdf["g"].iloc[0]], "k": [int((table * higher).sum())]})
 
-    own = blocked.groupBy("g", "block").applyInPandas(inside, f"g {kind}, k long")
-    counts = blocked.groupBy("g", "block", "v").agg(F.count("*").alias("n"))
+    own = blocked.repartition("g", "block").sortWithinPartitions("g", "block", "o").select("g", "block", "v").mapInArrow(inside, f"g {kind}, k long").where("k > 0")
+    counts = blocked.where("many").groupBy("g", "block", "v").agg(F.count("*").alias("n"))
     sums = own.unionByName(counts.groupBy("g").applyInPandas(across, f"g {kind}, k long")).groupBy("g").agg(F.sum("k").alias("inversions"))
-    return size.join(sums, "g").select(F.col("g").alias(group), "n", "inversions")
+    return size.join(sums, "g", "left").select(F.col("g").alias(group), "n", F.coalesce("inversions", F.lit(0)).alias("inversions"))
 
 
 def elective_placement(u: DataFrame) -> DataFrame:
