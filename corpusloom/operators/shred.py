@@ -111,7 +111,15 @@ def keyed_lists(value) -> list[tuple[str, list]]:
 
 
 def _text(v) -> str | None:
-    return v if isinstance(v, str) or v is None else json.dumps(v, ensure_ascii=False)
+    """A value as text: strings as they are (lone surrogates, which no table can hold, become ?), anything else as JSON."""
+    if v is None:
+        return None
+    if not isinstance(v, str):
+        try:
+            v = json.dumps(v, ensure_ascii=False)
+        except RecursionError:
+            return None
+    return v if v.isascii() else v.encode("utf-8", "replace").decode("utf-8")
 
 
 class _Columns:
@@ -183,7 +191,7 @@ def shred_record(record, groups: dict[str, Group], fields: bool) -> dict[tuple[s
                 continue
             out.add(node.path, MARK, rr, d + 2, None if isinstance(x, dict) else _text(x))
             if node.group.keyed:
-                out.add(node.path, "#key", rr, d + 2, key)
+                out.add(node.path, "#key", rr, d + 2, _text(key))
             has = x if isinstance(x, dict) else {}
             for leaf in node.leaves:
                 v = has.get(leaf)
@@ -226,6 +234,7 @@ def shred(df: DataFrame, key: str, payload: str, groups: dict[str, Group] = RECO
         import sys
 
         sys.setrecursionlimit(max(sys.getrecursionlimit(), 20_000))
+        sys.set_int_max_str_digits(0)
         for pdf in batches:
             rows = []
             for k, text in zip(pdf["key"], pdf["payload"]):

@@ -55,3 +55,12 @@ def test_tables_keep_fields_and_parents(spark):
     rows = [tuple(r) for r in S.table(cols, "assessment", {"type": "string", "weight": "double"}).orderBy("pos").collect()]
     assert rows == [(0, "0.0.0", "0.0", None, "quiz", 0.5), (0, "0.0.1", "0.0", None, "oral", None)]
     assert [tuple(r) for r in S.table(cols, "pathway", {"pathway_id": "string", "missing": "int"}).collect()] == [(0, "0", "", None, "7", None)]
+
+
+def test_odd_values(spark):
+    odd = '{"learning_pathways": [{"topic_sequence": ["\\ud800x", 12345678901234567890123456789, true, ""], "adaptive_branching": {"\\ud800": ["a"]}, "checkpoints": 5}]}'
+    rows = found(spark, odd)
+    assert [r[1] for r in rows].count("topic") == 4 and (0, "branch", "0.?.0", "0") in rows and (0, "checkpoint", "0.0", "0") in rows
+    huge = '{"entries": [{"level": ' + "9" * 5000 + '}]}'
+    assert found(spark, huge) == [(0, "entry", "0", "")]
+    assert found(spark, "[" * 200_000, '{"entries": ' + "[" * 200_000) == []
