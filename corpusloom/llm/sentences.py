@@ -46,6 +46,9 @@ def model() -> dict:
     return {"never": frozenset(found["never"]), "weights": found["weights"], "folded": frozenset(w.lower() for w in found["never"])}
 
 
+NEST = 32  # marks open at once; the outermost of more is taken for one that nothing closes
+
+
 def spans(text: str) -> list[tuple[int, int]]:
     """Matched quotes and brackets as (position of the opener, position of the closer), outermost only, for one unit."""
     out: list[tuple[int, int]] = []
@@ -67,6 +70,8 @@ def spans(text: str) -> list[tuple[int, int]]:
             stack.append((OPENERS.get(ch, ch), i))
         elif ch == "'" and (before.isspace() or before in "([") and not after.isspace():
             stack.append(("'", i))
+        if len(stack) > NEST:
+            del stack[0]
     return out
 
 
