@@ -103,3 +103,24 @@ def sequence_quality(u: DataFrame, linked: DataFrame, smooth: DataFrame, inversi
     j = base.crossJoin(smooth.select("smoothness")).crossJoin(links).crossJoin(kept)
     s = j.select("coverage", "smoothness", "domains", F.try_divide("linked", "n").alias("connectivity"), F.coalesce(1.0 - F.try_divide("bad", "pairs"), F.lit(1.0)).alias("order_kept"))
     return s.withColumn("overall", 0.25 * F.col("coverage") + 0.25 * F.col("smoothness") + 0.2 * F.col("domains") + 0.15 * F.col("connectivity") + 0.15 * F.col("order_kept"))
+
+ESSENTIAL = ["units_measurement", "vectors", "kinematics", "dynamics", "energy", "momentum", "waves", "thermodynamics", "electricity", "magnetism", "optics"]  # fixed values
+
+
+def curriculum(topics: DataFrame, target: int = 1000) -> DataFrame:
+    """One row: coverage of essential domains, share of titles that say something, levels (2 are enough), size, and their mean."""
+    named = ~contains_any(F.lower("title"), ["untitled", "section", "equations", "general"])
+    s = topics.agg(F.countDistinct(F.when(F.col("domain").isin(ESSENTIAL), F.col("domain"))).alias("have"), F.avg(named.cast("double")).alias("naming"), F.countDistinct("level").alias("levels"), F.count("*").alias("n"))
+    out = s.select((F.col("have") / float(len(ESSENTIAL))).alias("coverage"), F.coalesce("naming", F.lit(0.0)).alias("naming"), F.least(F.lit(1.0), F.col("levels") / 2.0).alias("progression"), F.least(F.lit(1.0), F.col("n") / float(target)).alias("quantity"))
+    return out.withColumn("overall", (F.col("coverage") + F.col("naming") + F.col("progression") + F.col("quantity")) / 4)
+
+
+def ordering(topics: DataFrame, rules: DataFrame) -> DataFrame:
+    """One row: topics, cases in which a domain that should come before occurs later, and 1 less their share (at least 0).
+
+    topics: domain, pos; rules: domain, needs. Only the last position of each domain is needed, so no pairs are formed.
+    """
+    last = topics.groupBy(F.col("domain").alias("needs")).agg(F.max("pos").alias("last"))
+    broken = topics.join(F.broadcast(rules), "domain").join(last, "needs").where("last > pos").agg(F.count("*").alias("violations"))
+    n = topics.agg(F.count("*").alias("topics"))
+    return n.crossJoin(broken).withColumn("ordering", F.greatest(F.lit(0.0), 1.0 - F.coalesce(F.try_divide("violations", "topics"), F.lit(0.0))))

@@ -205,7 +205,19 @@ def sequence_quality(spark, d):
     return q.select(*[F.round(c, 6).alias(c) for c in q.columns])
 
 
-QUERIES = {f.__name__: f for f in (pedagogical_position, lag_prerequisites, level_progression, transition_smoothness, prerequisite_depth, prerequisite_violations, level_inversions, elective_placement, checkpoints, branching, interleave, systematic_sample, stratified_sample, exam_pathway, accelerated_pathway, recommendations, pathway_diversity, sibling_edges, sibling_chain, prerequisite_edges, edge_statistics, graph_properties, cyclic_core, acyclic_edges, topo_generations, most_referenced, domain_rule_edges, hierarchy_paths, hierarchy_stats, quality_overall, quality_compare, toc_quality, sequence_quality)}
+def curriculum_quality(spark, d):
+    q = quality.curriculum(_u(spark, d))
+    return q.select(*[F.round(c, 6).alias(c) for c in q.columns])
+
+
+def domain_ordering(spark, d):
+    """How far units keep the order of domains that rules ask for."""
+    rules = spark.createDataFrame([("energy", "dynamics"), ("optics", "energy"), ("acids", "energy"), ("optics", "acids")], "domain string, needs string")
+    q = quality.ordering(_u(spark, d), rules)
+    return q.withColumn("ordering", F.round("ordering", 6))
+
+
+QUERIES = {f.__name__: f for f in (curriculum_quality, domain_ordering, pedagogical_position, lag_prerequisites, level_progression, transition_smoothness, prerequisite_depth, prerequisite_violations, level_inversions, elective_placement, checkpoints, branching, interleave, systematic_sample, stratified_sample, exam_pathway, accelerated_pathway, recommendations, pathway_diversity, sibling_edges, sibling_chain, prerequisite_edges, edge_statistics, graph_properties, cyclic_core, acyclic_edges, topo_generations, most_referenced, domain_rule_edges, hierarchy_paths, hierarchy_stats, quality_overall, quality_compare, toc_quality, sequence_quality)}
 
 _RANK = "CASE {c} WHEN 'high_school' THEN 0 WHEN 'undergraduate' THEN 1 WHEN 'graduate' THEN 2 ELSE 3 END"
 _U = f"""u AS (SELECT subtopic_id AS unit_id, name AS title, educational_level AS level, coalesce(domain, 'general') AS domain, coalesce(prerequisites, []) AS prerequisites, coalesce(learning_objectives, []) AS objectives, coalesce(difficulty, 1) AS difficulty,
@@ -294,4 +306,8 @@ SQL = {
     "sequence_quality": f"""WITH {_ENT}, {_U}, {_SM}, {_INV}, {_PROG}, s AS (SELECT avg((len(prerequisites) > 0)::INT) AS coverage, (SELECT smoothness FROM smooth) AS smoothness, least(count(DISTINCT domain) / 8.0::DOUBLE, 1.0) AS domains, (SELECT count(DISTINCT subtopic_id) FROM pr WHERE previous IS NOT NULL) / count(*) AS connectivity,
       coalesce(1 - (SELECT sum(inversions) / sum(n * (n - 1) / 2) FROM inv), 1.0) AS order_kept FROM u) SELECT round(coverage, 6) AS coverage, round(smoothness, 6) AS smoothness, round(domains, 6) AS domains, round(connectivity, 6) AS connectivity, round(order_kept, 6) AS order_kept,
       round(0.25::DOUBLE * coverage + 0.25::DOUBLE * smoothness + 0.2::DOUBLE * domains + 0.15::DOUBLE * connectivity + 0.15::DOUBLE * order_kept, 6) AS overall FROM s""",
+    "curriculum_quality": f"""WITH {_U}, s AS (SELECT count(DISTINCT CASE WHEN domain IN ({', '.join(map(D.quote, quality.ESSENTIAL))}) THEN domain END) / 11.0::DOUBLE AS coverage, avg((NOT {D.any_of('lower(title)', ['untitled', 'section', 'equations', 'general'])})::INT) AS naming,
+      least(1.0, count(DISTINCT level) / 2.0::DOUBLE) AS progression, least(1.0, count(*) / 1000.0::DOUBLE) AS quantity FROM u) SELECT round(coverage, 6) AS coverage, round(naming, 6) AS naming, round(progression, 6) AS progression, round(quantity, 6) AS quantity, round((coverage + naming + progression + quantity) / 4, 6) AS overall FROM s""",
+    "domain_ordering": f"""WITH {_U}, rl AS (SELECT * FROM (VALUES ('energy', 'dynamics'), ('optics', 'energy'), ('acids', 'energy'), ('optics', 'acids')) r(domain, needs)), v AS (SELECT count(*) AS violations FROM u JOIN rl USING (domain) WHERE (SELECT max(pos) FROM u x WHERE x.domain = rl.needs) > u.pos)
+      SELECT (SELECT count(*) FROM u) AS topics, violations, round(greatest(0.0, 1 - violations / (SELECT count(*) FROM u)), 6) AS ordering FROM v""",
 }
