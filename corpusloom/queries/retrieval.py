@@ -64,6 +64,7 @@ def context_topk(spark, d):
 
 
 def similar_titles(spark, d):
+    """Pairs of book titles whose similarity by matching blocks reaches 0.8."""
     return similarity.similar_titles(table(spark, d, "book_tocs").select(F.col("book_id").alias("id"), F.col("book_title").alias("title")))
 
 
