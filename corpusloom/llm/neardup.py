@@ -3,9 +3,10 @@
 1. words     Every text becomes its set of distinct words, as 48-bit hashes, and a 64-bit key of the set. Texts with the
              same key are copies and one node from here on.
 2. weights   Document frequencies of all words over all rows go into a count sketch of fixed size; a word's weight falls
-             with its frequency and is discretised to powers of two. A word that occurs once cannot be shared and weighs
-             nothing; very frequent words weigh next to nothing, so that what two unrelated texts of one language share
-             makes no candidates, at any number of texts. Weights steer the candidate search only, never the verdict.
+             with its share of all rows and is discretised to powers of two, so that two texts are found as surely in
+             a large table as in a small one. A word that occurs once cannot be shared and weighs nothing; very frequent
+             words weigh next to nothing, so that what two unrelated texts of one language share makes few candidates.
+             Weights steer the candidate search only, never the verdict.
 3. sign      BagMinHash: the weight axis is cut into dyadic intervals, and each (word, interval) owns a Poisson process
              over time with a signature slot per point and a rate in proportion to the interval. A word takes part with
              all intervals below its weight. The first point in a slot over all words of a text is the slot's signature;
@@ -39,8 +40,9 @@ _WORD = re.compile(r"[^\W_]+")
 BYTES = 6  # of a word's hash
 MASK = (1 << 48) - 1
 DEPTH = 12  # the least weight is 2 ** -DEPTH
-RARE = 16  # words of at most so many rows weigh 1
-FALL = 0.7  # weight of a word of more rows: (RARE / rows) ** FALL
+RARE = 16  # words of at most so many rows weigh 1,
+SHARE = 1 / 500  # and words of at most so large a share of all rows
+FALL = 0.7  # weight of a word of more rows: (the larger of the two / rows) ** FALL
 NONE = DEPTH + 1  # level of a word that weighs nothing
 
 
@@ -118,9 +120,9 @@ def frequency_sketch(words: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def levels(df: np.ndarray) -> np.ndarray:
-    """Levels of document frequencies: a word of level e weighs 2 ** -e, one of level NONE nothing."""
-    e = np.ceil(FALL * np.log2(np.maximum(df, 1.0) / RARE)).clip(0, DEPTH).astype(np.int64)
+def levels(df: np.ndarray, n_rows: int) -> np.ndarray:
+    """Levels of document frequencies in n_rows rows: a word of level e weighs 2 ** -e, one of level NONE nothing."""
+    e = np.ceil(FALL * np.log2(np.maximum(df, 1.0) / max(RARE, SHARE * n_rows))).clip(0, DEPTH).astype(np.int64)
     return np.where(df < 2, NONE, e)
 
 
@@ -200,7 +202,7 @@ def _band_rows(skeys: np.ndarray, sig: np.ndarray, bands: int, width: int, star_
     return v, node, np.where(hot, lead, 0), hot
 
 
-def band_rows(words: DataFrame, sketch: np.ndarray, bands: int, width: int, star_above: int, threshold: float) -> DataFrame:
+def band_rows(words: DataFrame, sketch: np.ndarray, n_rows: int, bands: int, width: int, star_above: int, threshold: float) -> DataFrame:
     """(band, node, lead) rows of all nodes: lead is null but where a map task tied a band value's nodes to a leader (itself among them)."""
     shared = words.sparkSession.sparkContext.broadcast(sketch)
     slots = bands * width
@@ -210,7 +212,7 @@ def band_rows(words: DataFrame, sketch: np.ndarray, bands: int, width: int, star
         mask = np.uint64(len(counts) - 1)
 
         def level_of(h):
-            return levels(counts[(h & mask).astype(np.int64)].astype(np.float64))
+            return levels(counts[(h & mask).astype(np.int64)].astype(np.float64), n_rows)
 
         seen: set[int] = set()
         for keys, blobs in _rebatched(batches, 32_768):
@@ -333,7 +335,7 @@ def verify(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
     return full.select("a", "b", "wa", "wb").mapInArrow(exact, "a long, b long")
 
 
-def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.6, bands: int = 32, width: int = 3, star_above: int = 32, sketch_bits: int = 22) -> DataFrame:
+def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.6, bands: int = 36, width: int = 3, star_above: int = 32, sketch_bits: int = 22) -> DataFrame:
     """(id, class) of every row that has a word: class is the least node key of its group of near duplicates.
 
     threshold     least Jaccard similarity of distinct words of two linked records
@@ -345,7 +347,7 @@ def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.6, b
     scratch = Scratch(spark, "neardup")
     words = scratch.cut(words_table(df, key, texts))
     sketch = frequency_sketch(words, sketch_bits)
-    pairs = scratch.cut(candidates(band_rows(words, sketch, bands, width, star_above, threshold), star_above))
+    pairs = scratch.cut(candidates(band_rows(words, sketch, words.count(), bands, width, star_above, threshold), star_above))
     release(spark)
     starred = pairs.where("hot is not null")
     any_star = not starred.isEmpty()

@@ -1,5 +1,6 @@
 """Near duplicates against all pairs."""
 
+import inspect
 import random
 import re
 
@@ -88,3 +89,12 @@ def test_long_text(spark):
     long = " ".join(f"w{i}" for i in range(30_000))
     rows = [(1, "a", long), (2, "b", long), (3, "c", "short")]
     assert {tuple(r) for r in N.pairs_in_classes(N.classes(frame(spark, rows), "subtopic_id", ["name", "description"])).collect()} == {(1, 2)}
+
+
+@pytest.mark.parametrize("times", [1, 10, 1000])
+def test_links_are_found_as_surely_in_large_tables(times):
+    rows = 20_000
+    shared, apart = np.full(30, rows // 250), np.full(16, 2)  # plain similarity 30 / 46
+    weight = lambda df: (2.0 ** -N.levels(df * float(times), rows * times)).sum()
+    s = weight(shared) / (weight(shared) + weight(apart))
+    assert 1 - (1 - s**3) ** inspect.signature(N.classes).parameters["bands"].default > 0.98
