@@ -203,3 +203,12 @@ def test_entry_points():
     queries, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(queries) and len(queries) > 100
     assert all(f.__doc__ or name in sql for name, f in queries.items())
+
+
+@pytest.mark.parametrize("threshold", [0.6, 0.8])
+def test_similar_titles_against_all_pairs(spark, threshold):
+    titles = ["Optics of the lens", "Optic of teh lens", "The wave", "Introduction to Optics", "optics overview", "Optics", "a", "ab", "abc", "b", "回路の曲線 1", "回路の曲線 2", "回路の図 1", "The layered neuron", "The layred neurons (2nd ed.)", "the wave and the lens", "  ", "THE WAVE "]
+    df = spark.createDataFrame(list(enumerate(titles)), "id long, title string")
+    want = {(i, j, round(similarity.title_similarity(a, b), 6)) for i, a in enumerate(titles) for j, b in enumerate(titles) if i < j and a.strip() and b.strip() and round(similarity.title_similarity(a, b), 6) >= threshold}
+    assert {tuple(r) for r in similarity.similar_titles(df, threshold).collect()} == want
+    assert (3, 4, 0.95) in want
