@@ -225,30 +225,29 @@ def passages(filters: Filters, text: str) -> list[tuple[int, int, int, int]]:
     return [tuple(x) for x in out]
 
 
-#: Words that must speak clearly for a second language before a text is cut into sentences. Two whole sentences have more.
-SECOND = 3.0
-
-
 def analyse(df: DataFrame, key: str, text: str, table: np.ndarray) -> DataFrame:
-    """key, scores (evidence in words per language) and runs array<struct<start_pos, end_pos, language, sentences>>. Narrow.
+    """key, scores (evidence in words per language) and runs array<struct<start_pos, end_pos, language, sentences, confidence>>. Narrow.
 
-    Scores may be added up over texts. A text in which a second language has words of its own is cut into sentences, and
-    each of its runs gives evidence for its own language only; any other text is one run, for which sentences are counted no
-    further than two if it is long.
+    Scores may be added up over texts. Every text is cut into sentences. If it has runs of several languages, each gives
+    evidence for its own language only. A run's confidence is the lead of its language over the next in the run's own scores,
+    0 if another leads.
     """
     shared = df.sparkSession.sparkContext.broadcast(table)
     kind = df.schema[key].dataType.simpleString()
 
     def cut(filters: Filters, t: str) -> tuple[list[float], list[dict]]:
         runs, s = [], np.zeros(len(LANGUAGES))
-        for a, b, lang, k in passages(filters, t):
-            s[lang] += filters.score(t[a:b])[0]
-            runs.append({"start_pos": a, "end_pos": b, "language": LANGUAGES[lang], "sentences": k})
+        found = passages(filters, t)
+        for a, b, lang, k in found:
+            weight, own = filters.score(t[a:b])
+            s += own if len(found) == 1 else weight * (np.arange(len(LANGUAGES)) == lang)
+            lead = (own[lang] - np.delete(own, lang).max()) / own[lang] if own[lang] > 0 else 0.0
+            runs.append({"start_pos": a, "end_pos": b, "language": LANGUAGES[lang], "sentences": k, "confidence": max(0.0, float(lead))})
         return s.tolist(), runs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = Filters(shared.value)
-        shape = pa.list_(pa.struct([("start_pos", pa.int32()), ("end_pos", pa.int32()), ("language", pa.string()), ("sentences", pa.int32())]))
+        shape = pa.list_(pa.struct([("start_pos", pa.int32()), ("end_pos", pa.int32()), ("language", pa.string()), ("sentences", pa.int32()), ("confidence", pa.float64())]))
         for whole in batches:
             for first in range(0, whole.num_rows, 256):
                 batch = whole.slice(first, 256)
@@ -257,28 +256,14 @@ def analyse(df: DataFrame, key: str, text: str, table: np.ndarray) -> DataFrame:
                 size = np.array([len(i) for i in ids])
                 scores: list = [[0.0] * len(LANGUAGES)] * len(texts)
                 runs: list = [[]] * len(texts)
-                some = np.flatnonzero(size)
-                if len(some):
-                    flat = np.concatenate([np.array(ids[k]) for k in some])
-                    begin = np.r_[0, np.cumsum(size[some])[:-1]]
-                    x = filters.shares[flat]
-                    s = np.add.reduceat(x, begin, axis=0)
-                    main = s.argmax(axis=1)
-                    of = np.repeat(np.arange(len(some)), size[some])
-                    lead = x - x[np.arange(len(flat)), main[of]][:, None]
-                    lead[lead <= 0.3 * filters.weights[flat][:, None]] = 0.0
-                    second = np.add.reduceat(lead, begin, axis=0).max(axis=1)
-                    for j, k in enumerate(some):
-                        if second[j] >= SECOND:
-                            scores[k], runs[k] = cut(filters, texts[k])
-                        else:
-                            scores[k], runs[k] = s[j].tolist(), [{"start_pos": 0, "end_pos": len(texts[k]), "language": LANGUAGES[main[j]], "sentences": len(sent.ends(texts[k])) if len(texts[k]) < 600 else 2}]
+                for k in np.flatnonzero(size):
+                    scores[k], runs[k] = cut(filters, texts[k])
                 if len(filters.index) > 1_000_000:
                     filters.clear()
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.list_(pa.float64())), pa.array(runs, shape)], ["key", "scores", "runs"])
 
     base = df.select(F.col(key).alias("key"), F.col(text).alias("text")).where("length(text) > 0")
-    return base.mapInArrow(run, f"key {kind}, scores array<double>, runs array<struct<start_pos int, end_pos int, language string, sentences int>>")
+    return base.mapInArrow(run, f"key {kind}, scores array<double>, runs array<struct<start_pos int, end_pos int, language string, sentences int, confidence double>>")
 
 
 def verdict(scores: Column) -> tuple[Column, Column]:

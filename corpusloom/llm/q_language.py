@@ -19,13 +19,20 @@ def p4_documents(spark, d):
     return language.document_languages(docs, language.fit(docs)).select("doc_id", "language", F.round("confidence", 6).alias("confidence"))
 
 
+def _passages(spark, d, name, key, text):
+    seen = language.analyse(table(spark, d, name), key, text, language.fit(table(spark, d, "documents")))
+    return seen.select(F.col("key").alias(key), F.inline("runs")).withColumn("confidence", F.round("confidence", 6))
+
+
 def p4_passages(spark, d):
-    """Stretches of one language in every chapter, with their share of it."""
-    seen = language.analyse(table(spark, d, "chapters"), "chapter_id", "content", language.fit(table(spark, d, "documents")))
-    _, confidence = language.verdict(F.col("scores"))
-    scored = seen.select(F.col("key").alias("chapter_id"), F.round(confidence, 6).alias("confidence"), "runs")
-    return scored.select("chapter_id", "confidence", F.inline("runs"))
+    """Stretches of one language in every chapter, with the number of sentences and the confidence of each."""
+    return _passages(spark, d, "chapters", "chapter_id", "content")
+
+
+def p4_document_passages(spark, d):
+    """Stretches of one language in every document."""
+    return _passages(spark, d, "documents", "doc_id", "text")
 
 
-QUERIES = {"p4_found": p4_found, "p4_documents": p4_documents, "p4_passages": p4_passages}
+QUERIES = {"p4_found": p4_found, "p4_documents": p4_documents, "p4_passages": p4_passages, "p4_document_passages": p4_document_passages}
 SQL: dict[str, str] = {}

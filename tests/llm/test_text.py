@@ -114,3 +114,13 @@ def test_false_positive_correction():
     f = L.Filters(table)
     total, s = f.score("quite unrelated words of some length here")
     assert s[0] < 0.2 * total
+
+
+def test_runs_count_all_sentences_and_have_a_confidence_of_their_own(spark):
+    documents, _, _ = tables(spark)
+    table = L.fit(documents)
+    text = " ".join(["The teacher reads the lesson about the light and the lens in the old school."] * 12)
+    rows = L.analyse(spark.createDataFrame([(1, text)], "k long, t string"), "k", "t", table).collect()
+    assert len(text) > 600
+    assert sum(r["sentences"] for r in rows[0]["runs"]) == len(S.ends(text)) > 2
+    assert all(0.0 <= r["confidence"] <= 1.0 for r in rows[0]["runs"])
