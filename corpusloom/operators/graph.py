@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from corpusloom.durable import Scratch
 
@@ -90,12 +91,33 @@ def most_referenced(edges: DataFrame, k: int = 10) -> DataFrame:
 def rule_edges(topics: DataFrame, rules: DataFrame) -> DataFrame:
     """Edges from the first topic (lowest position) of a required domain to every topic of the domain that needs it.
 
-    topics: id, domain, pos; rules: domain, needs. One edge per topic and rule instead of all pairs of two domains.
+    topics: id, domain, pos; rules: domain, needs. One edge per topic and rule instead of all pairs of two domains; the whole
+    set of pairs, factored, is that of rule_links.
     """
     first = topics.groupBy("domain").agg(F.min_by("id", F.struct("pos", "id")).alias("src")).withColumnRenamed("domain", "needs")
     return topics.join(F.broadcast(rules), "domain").join(first, "needs").where("src <> id").select("src", F.col("id").alias("dst"), F.lit("domain").alias("kind"), F.lit(0.8).alias("confidence"))
 
 
+def rule_links(topics: DataFrame, rules: DataFrame) -> DataFrame:
+    """All prerequisites by rule, factored: dst, domain, needs, links, prior.
+
+    topics: id, domain, pos; rules: domain, needs. A row stands for an edge to dst from every other topic of the domain
+    `needs` (links of them); those from topics before dst are as many as prior. Joined with topics on domain = needs it
+    gives the edges, of which there are as many as all pairs of two domains.
+    """
+    at = topics.select("domain", "pos").groupBy("domain", "pos").agg(F.count("*").alias("n"))
+    pairs = topics.join(F.broadcast(rules.distinct()), "domain").select(F.col("id").alias("dst"), "domain", "needs", "pos")
+    size = topics.groupBy(F.col("domain").alias("needs")).agg(F.count("*").alias("size"))
+    asked = pairs.select(F.col("needs").alias("domain"), "pos").distinct()
+    marks = at.unionByName(asked.withColumn("n", F.lit(0).cast("long"))).groupBy("domain", "pos").agg(F.sum("n").alias("n"))
+    before = marks.select(F.col("domain").alias("needs"), "pos", F.coalesce(F.sum("n").over(W.partitionBy("domain").orderBy("pos").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("prior"))
+    return (
+        pairs.join(size, "needs").join(before, ["needs", "pos"])
+        .select("dst", "domain", "needs", (F.col("size") - F.when(F.col("domain") == F.col("needs"), 1).otherwise(0)).alias("links"), "prior")
+        .where("links > 0")
+    )
+
+
 LEVELS = 6
 PAD = "General Topic"
 

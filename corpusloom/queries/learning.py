@@ -152,12 +152,26 @@ def most_referenced(spark, d):
     return graph.most_referenced(_edges(spark, d)[1])
 
 
-def domain_rule_edges(spark, d):
+def _domain_rules(spark, d):
     rules = spark.createDataFrame([(k, n) for k, v in L.DOMAIN_PREREQUISITES.items() for n in v], "domain string, needs string")
     from corpusloom.operators.lexicon import most_label
 
     t = _u(spark, d).select(F.col("unit_id").alias("id"), most_label(F.lower("title"), L.DOMAINS_MOST).alias("domain"), "pos").where("domain is not null")
-    return graph.rule_edges(t, rules).select("src", "dst", "kind", "confidence")
+    return t, rules
+
+
+def domain_rule_edges(spark, d):
+    return graph.rule_edges(*_domain_rules(spark, d)).select("src", "dst", "kind", "confidence")
+
+
+def domain_rule_links(spark, d):
+    """All prerequisites by domain rules, a row per topic and required domain with its number of edges."""
+    return graph.rule_links(*_domain_rules(spark, d))
+
+
+def domain_rule_members(spark, d):
+    """The topics of every domain: with domain_rule_links, the edges from each topic of a required domain."""
+    return _domain_rules(spark, d)[0].select("domain", "id", "pos")
 
 
 def hierarchy_paths(spark, d):
@@ -217,7 +231,7 @@ def domain_ordering(spark, d):
     return q.withColumn("ordering", F.round("ordering", 6))
 
 
-QUERIES = {f.__name__: f for f in (curriculum_quality, domain_ordering, pedagogical_position, lag_prerequisites, level_progression, transition_smoothness, prerequisite_depth, prerequisite_violations, level_inversions, elective_placement, checkpoints, branching, interleave, systematic_sample, stratified_sample, exam_pathway, accelerated_pathway, recommendations, pathway_diversity, sibling_edges, sibling_chain, prerequisite_edges, edge_statistics, graph_properties, cyclic_core, acyclic_edges, topo_generations, most_referenced, domain_rule_edges, hierarchy_paths, hierarchy_stats, quality_overall, quality_compare, toc_quality, sequence_quality)}
+QUERIES = {f.__name__: f for f in (curriculum_quality, domain_ordering, pedagogical_position, lag_prerequisites, level_progression, transition_smoothness, prerequisite_depth, prerequisite_violations, level_inversions, elective_placement, checkpoints, branching, interleave, systematic_sample, stratified_sample, exam_pathway, accelerated_pathway, recommendations, pathway_diversity, sibling_edges, sibling_chain, prerequisite_edges, edge_statistics, graph_properties, cyclic_core, acyclic_edges, topo_generations, most_referenced, domain_rule_edges, domain_rule_links, domain_rule_members, hierarchy_paths, hierarchy_stats, quality_overall, quality_compare, toc_quality, sequence_quality)}
 
 _RANK = "CASE {c} WHEN 'high_school' THEN 0 WHEN 'undergraduate' THEN 1 WHEN 'graduate' THEN 2 ELSE 3 END"
 _U = f"""u AS (SELECT subtopic_id AS unit_id, name AS title, educational_level AS level, coalesce(domain, 'general') AS domain, coalesce(prerequisites, []) AS prerequisites, coalesce(learning_objectives, []) AS objectives, coalesce(difficulty, 1) AS difficulty,

@@ -212,3 +212,16 @@ def test_similar_titles_against_all_pairs(spark, threshold):
     want = {(i, j, round(similarity.title_similarity(a, b), 6)) for i, a in enumerate(titles) for j, b in enumerate(titles) if i < j and a.strip() and b.strip() and round(similarity.title_similarity(a, b), 6) >= threshold}
     assert {tuple(r) for r in similarity.similar_titles(df, threshold).collect()} == want
     assert (3, 4, 0.95) in want
+
+
+def test_rule_links_hold_all_pairs(spark):
+    topics = [(i, "abc"[i % 3], i // 2) for i in range(12)]
+    rules = [("b", "a"), ("c", "a"), ("c", "b"), ("a", "none")]
+    t = spark.createDataFrame(topics, "id long, domain string, pos int")
+    links = graph.rule_links(t, spark.createDataFrame(rules, "domain string, needs string"))
+    members = t.select(F.col("id").alias("src"), F.col("domain").alias("needs"))
+    got = {(r["src"], r["dst"]) for r in links.join(members, "needs").where("src <> dst").collect()}
+    assert got == {(s, i) for i, d, _ in topics for s, e, _ in topics if (d, e) in rules}
+    for r in links.collect():
+        mine = [p for _, e, p in topics if e == r["needs"]]
+        assert r["links"] == len(mine) and r["prior"] == sum(p < topics[r["dst"]][2] for p in mine)
