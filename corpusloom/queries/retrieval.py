@@ -71,7 +71,10 @@ def similar_titles(spark, d):
 def nested_paths(spark, d):
     """Pairs of files of which one lies below the other's folder."""
     p = table(spark, d, "pdf_results").select("pdf_id", "file_path")
-    folders = p.select(F.col("pdf_id").alias("inner_id"), F.regexp_replace("file_path", "/[^/]+$", "").alias("folder"))
+    parts = F.split("file_path", "/")
+    above = F.transform(F.filter(F.sequence(F.lit(0), F.size(parts) - 1), lambda k: k > 0), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))
+    own = F.array(F.regexp_replace("file_path", "/[^/]+$", ""))
+    folders = p.where("file_path is not null").select(F.col("pdf_id").alias("inner_id"), F.explode(F.array_distinct(F.concat(own, above))).alias("folder"))
     outer = table(spark, d, "book_tocs").select("book_id", F.regexp_replace("file_path", "/[^/]+$", "").alias("folder")).where("folder is not null")
     return folders.join(outer, "folder").select("inner_id", "book_id", "folder")
 

@@ -225,3 +225,11 @@ def test_rule_links_hold_all_pairs(spark):
     for r in links.collect():
         mine = [p for _, e, p in topics if e == r["needs"]]
         assert r["links"] == len(mine) and r["prior"] == sum(p < topics[r["dst"]][2] for p in mine)
+
+
+def test_nested_paths_go_below_subfolders(spark, tmp_path):
+    from corpusloom.queries.retrieval import nested_paths
+
+    spark.createDataFrame([(1, "x/a/1.pdf"), (2, "x/a/b/c/2.pdf"), (3, "x/ab/3.pdf"), (4, "4.pdf"), (5, None)], "pdf_id long, file_path string").write.parquet(f"{tmp_path}/pdf_results.parquet")
+    spark.createDataFrame([("k", "x/a/toc.json"), ("n", None)], "book_id string, file_path string").write.parquet(f"{tmp_path}/book_tocs.parquet")
+    assert {tuple(r) for r in nested_paths(spark, str(tmp_path)).collect()} == {(1, "k", "x/a"), (2, "k", "x/a")}
