@@ -1,6 +1,6 @@
 """Near-duplicate records by BagMinHash signatures, banding and exact verification.
 
-1. words     Every text becomes its set of distinct words, as 48-bit hashes, and a 64-bit key of the set. Texts with the
+1. words     Every text becomes its set of distinct words, as 40-bit hashes, and a 64-bit key of the set. Texts with the
              same key are copies and one node from here on.
 2. weights   Document frequencies of all words over all rows go into a count sketch of fixed size; a word's weight falls
              with its share of all rows and is discretised to powers of two, so that two texts are found as surely in
@@ -12,11 +12,14 @@
              all intervals below its weight. The first point in a slot over all words of a text is the slot's signature;
              two texts agree in a slot with the probability of their weighted Jaccard similarity. Points come in blocks
              of growing size; only texts with undecided slots draw further blocks.
-4. band      Slots are hashed in bands. In a map task, a band value with many texts is first reduced to a star around one
-             leader, so no bucket grows with a hot group; buckets above `star_above` become stars as well.
-5. verify    Candidates are held against the exact similarity of their word sets. Texts of starred buckets that are not
-             yet in one component are compared in full afterwards.
-6. group     Links give components (large and small stars); copies join their node again.
+4. band      Slots are hashed in bands, some bands a pass: each pass has slots of its own, and its shuffle is deleted
+             before the next. In a map task, a band value with many texts is first reduced to a star around one leader,
+             so no bucket grows with a hot group; buckets above `star_above` become stars as well.
+5. verify    Candidates must pass a bound that loses nothing (parity bits of both word sets differ in no more places than
+             the sets have words apart), and what passes is held against the exact similarity of the word sets.
+6. refine    Texts of starred buckets that are not yet in one component get new signatures with all words weighing the
+             same and longer bands, inside their bucket, until no starred bucket is left with more than one component.
+7. group     Links give components (large and small stars); copies join their node again.
 
 Nulls count as empty texts; texts without words are in no group, except that they are no copies of each other either.
 """
@@ -33,16 +36,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.durable import Scratch, release
+from corpusloom.durable import Scratch
 from corpusloom.llm.components import components
 
 _WORD = re.compile(r"[^\W_]+")
-BYTES = 6  # of a word's hash
-MASK = (1 << 48) - 1
+BYTES = 5  # of a word's hash
+MASK = (1 << 8 * BYTES) - 1
 DEPTH = 12  # the least weight is 2 ** -DEPTH
 RARE = 16  # words of at most so many rows weigh 1,
-SHARE = 1 / 500  # and words of at most so large a share of all rows
-FALL = 0.7  # weight of a word of more rows: (the larger of the two / rows) ** FALL
+SHARE = 1 / 2000  # and words of at most so large a share of all rows,
+KNEE = 1 / 240  # words of at most this share weigh 1 / 2, more frequent ones KNEE / share / 2
+MISS = 0.003  # probability that refining misses a link at the threshold
 NONE = DEPTH + 1  # level of a word that weighs nothing
 
 
@@ -64,10 +68,11 @@ def _unpack(blobs) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words_table(df: DataFrame, key: str, texts: list[str]) -> DataFrame:
-    """id, skey, words of every row that has a word."""
+    """id, skey, words of every row that has a word; of the copies in one map task only the first keeps its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
+        seen: set[int] = set()
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
             ids, sizes, flat = [], [], []
@@ -90,6 +95,10 @@ def words_table(df: DataFrame, key: str, texts: list[str]) -> DataFrame:
             ends = np.cumsum(sizes) * BYTES
             blobs = [packed[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())] if sizes else []
             keys = [digest(b) - (1 << 63) for b in blobs]
+            for i, k in enumerate(keys):
+                if k in seen:
+                    blobs[i] = None
+                seen.add(k)
             yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field(0).type), pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], ["id", "skey", "words"])
 
     text = F.concat_ws(" ", *[F.coalesce(F.col(t), F.lit("")) for t in texts])
@@ -97,7 +106,7 @@ def words_table(df: DataFrame, key: str, texts: list[str]) -> DataFrame:
 
 
 def frequency_sketch(words: DataFrame, bits: int) -> np.ndarray:
-    """2**bits saturating counts of the rows that hold a word, by word hash. Its size does not depend on the data."""
+    """2**bits saturating counts of the texts that hold a word (copies in one map task count once). Its size does not depend on the data."""
     piece = 16  # bits of a slot within a piece
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +122,7 @@ def frequency_sketch(words: DataFrame, bits: int) -> np.ndarray:
         part[pdf["slot"].to_numpy() & ((1 << piece) - 1)] = np.minimum(pdf["n"].to_numpy(), 0xFFFFFFFF)
         return pd.DataFrame({"piece": [int(pdf["slot"].iloc[0]) >> piece], "counts": [part.tobytes()]})
 
-    sums = words.select("words").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    sums = words.where("words is not null").select("words").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     out = np.zeros(1 << bits, dtype=np.uint32)
     for row in sums.groupBy(F.expr(f"slot >> {piece}")).applyInPandas(gather, "piece long, counts binary").toLocalIterator():
         out[row["piece"] << piece : (row["piece"] + 1) << piece] = np.frombuffer(row["counts"], dtype=np.uint32)
@@ -122,11 +131,11 @@ def frequency_sketch(words: DataFrame, bits: int) -> np.ndarray:
 
 def levels(df: np.ndarray, n_rows: int) -> np.ndarray:
     """Levels of document frequencies in n_rows rows: a word of level e weighs 2 ** -e, one of level NONE nothing."""
-    e = np.ceil(FALL * np.log2(np.maximum(df, 1.0) / max(RARE, SHARE * n_rows))).clip(0, DEPTH).astype(np.int64)
-    return np.where(df < 2, NONE, e)
+    beyond = 1 + np.ceil(np.log2(np.maximum(df / (KNEE * max(n_rows, 1)), 1.0))).clip(0, DEPTH - 1).astype(np.int64)
+    return np.where(df < 2, NONE, np.where(df <= max(RARE, SHARE * n_rows), 0, beyond))
 
 
-def _points(words: np.ndarray, level: np.ndarray, slots: int, block: int, time: np.ndarray) -> np.ndarray:
+def _points(words: np.ndarray, level: np.ndarray, slots: int, block: int, time: np.ndarray, salt: int) -> np.ndarray:
     """First arrivals per slot (inf where none) in the block-th points of each word; moves time (word x interval) on."""
     first = np.full((len(words), slots), np.inf, dtype=np.float32)
     for j in range(DEPTH + 1):
@@ -135,7 +144,7 @@ def _points(words: np.ndarray, level: np.ndarray, slots: int, block: int, time:
             continue
         rate = slots * 2.0 ** -(j + (j < DEPTH))  # interval j is the upper half of [0, 2**-j), the last one is [0, 2**-DEPTH)
         n = (int(rate) + 3) << block
-        at = np.uint64(j << 40) + np.uint64((int(rate) + 3) * ((1 << block) - 1)) + np.arange(n, dtype=np.uint64)
+        at = np.uint64((salt << 50) + (j << 40)) + np.uint64((int(rate) + 3) * ((1 << block) - 1)) + np.arange(n, dtype=np.uint64)
         h = _mix(words[rows, None] * np.uint64(0xD1342543DE82EF95) + at[None, :])
         gap = np.log((((h >> np.uint64(40)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-24))).astype(np.float64) / -rate
         when = time[rows, j, None] + np.cumsum(gap, axis=1)
@@ -145,8 +154,8 @@ def _points(words: np.ndarray, level: np.ndarray, slots: int, block: int, time:
     return first
 
 
-def sign(hashes: np.ndarray, sizes: np.ndarray, level_of, slots: int) -> np.ndarray:
-    """Signatures, one row of slots per set of word hashes; rows whose words all weigh nothing are inf."""
+def sign(hashes: np.ndarray, sizes: np.ndarray, level_of, slots: int, salt: int = 0) -> np.ndarray:
+    """Signatures, one row of slots per set of word hashes; rows whose words all weigh nothing are inf. Each salt has processes of its own."""
     vocab, inverse = np.unique(hashes, return_inverse=True)
     level = level_of(vocab)
     out = np.full((len(sizes), slots), np.inf, dtype=np.float32)
@@ -162,7 +171,7 @@ def sign(hashes: np.ndarray, sizes: np.ndarray, level_of, slots: int) -> np.ndar
         for s in range(0, len(used), 2048):
             w = used[s : s + 2048]
             t = time[w]
-            first[s : s + 2048] = _points(vocab[w], level[w], slots, block, t)
+            first[s : s + 2048] = _points(vocab[w], level[w], slots, block, t, salt)
             time[w] = t
         begins = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
         docs = owner[begins]
@@ -182,17 +191,17 @@ def sign(hashes: np.ndarray, sizes: np.ndarray, level_of, slots: int) -> np.ndar
     return out
 
 
-def _band_rows(skeys: np.ndarray, sig: np.ndarray, bands: int, width: int, star_above: int):
+def _band_rows(keys: np.ndarray, within: np.ndarray, sig: np.ndarray, bands: int, width: int, star_above: int, salt: int):
     """(band value, node, leader, whether there is a leader) of one batch; a band value with many nodes has a leader."""
-    by_node = np.argsort(skeys)
-    skeys = skeys[by_node]
+    by_node = np.argsort(keys, kind="stable")
+    keys = keys[by_node]
     bits = sig[by_node].view(np.uint32).astype(np.uint64)
-    value = np.zeros((len(skeys), bands), dtype=np.uint64)
+    value = np.repeat(_mix(within[by_node] + np.uint64(salt))[:, None], bands, axis=1)
     for k in range(width):
         value = _mix(value ^ bits[:, k * bands : (k + 1) * bands])
     value = _mix(value + np.arange(bands, dtype=np.uint64)[None, :])
     v = value.ravel().view(np.int64)
-    node = np.repeat(skeys, bands)
+    node = np.repeat(keys, bands)
     order = np.argsort(v, kind="stable")
     v, node = v[order], node[order]
     begin = np.flatnonzero(np.r_[True, v[1:] != v[:-1]])
@@ -202,41 +211,38 @@ def _band_rows(skeys: np.ndarray, sig: np.ndarray, bands: int, width: int, star_
     return v, node, np.where(hot, lead, 0), hot
 
 
-def band_rows(words: DataFrame, sketch: np.ndarray, n_rows: int, bands: int, width: int, star_above: int, threshold: float) -> DataFrame:
-    """(band, node, lead) rows of all nodes: lead is null but where a map task tied a band value's nodes to a leader (itself among them)."""
-    shared = words.sparkSession.sparkContext.broadcast(sketch)
+def band_rows(texts: DataFrame, sketch: np.ndarray | None, n_rows: int, bands: int, width: int, star_above: int, threshold: float, salt: int = 0) -> DataFrame:
+    """(band, node, lead) rows of texts (within, skey, words): lead is null but where a map task tied a band value's nodes to a leader (itself among them).
+
+    Only texts with the same `within` can share a band value. Without a sketch all words weigh the same.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(sketch)
     slots = bands * width
+    step = max(256, 32_768 * 54 // slots)  # so that a batch of signatures stays small however long they are
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
-        mask = np.uint64(len(counts) - 1)
+        mask = np.uint64(0 if counts is None else len(counts) - 1)
 
         def level_of(h):
-            return levels(counts[(h & mask).astype(np.int64)].astype(np.float64), n_rows)
+            return np.zeros(len(h), dtype=np.int64) if counts is None else levels(counts[(h & mask).astype(np.int64)].astype(np.float64), n_rows)
 
-        seen: set[int] = set()
-        for keys, blobs in _rebatched(batches, 32_768):
-            new = []
-            for i, k in enumerate(keys):
-                if k not in seen:
-                    seen.add(k)
-                    new.append(i)
-            keys, blobs = [keys[i] for i in new], [blobs[i] for i in new]
-            if not keys:
-                continue
+        for within, keys, blobs in _rebatched(batches, step):
             hashes, sizes = _unpack(blobs)
-            # A text of which too few words occur elsewhere cannot be similar to any other.
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            shareable = np.bincount(owner, weights=counts[(hashes & mask).astype(np.int64)] > 1, minlength=len(sizes))
-            can = shareable >= threshold * sizes
-            hashes, sizes, k = hashes[np.repeat(can, sizes)], sizes[can], np.array(keys, dtype=np.int64)[can]
+            inside, k = np.array(within, dtype=np.int64).view(np.uint64), np.array(keys, dtype=np.int64)
+            if counts is not None:
+                # A text of which too few words occur elsewhere cannot be similar to any other.
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                shareable = np.bincount(owner, weights=counts[(hashes & mask).astype(np.int64)] > 1, minlength=len(sizes))
+                can = shareable >= threshold * sizes
+                hashes, sizes, inside, k = hashes[np.repeat(can, sizes)], sizes[can], inside[can], k[can]
             if not len(k):
                 continue
-            sig = np.ascontiguousarray(sign(hashes, sizes, level_of, slots))
-            v, node, lead, hot = _band_rows(k, sig, bands, width, star_above)
+            sig = np.ascontiguousarray(sign(hashes, sizes, level_of, slots, salt))
+            v, node, lead, hot = _band_rows(k, inside, sig, bands, width, star_above, salt)
             yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(node), pa.array(lead, mask=~hot)], ["band", "node", "lead"])
 
-    return words.select("skey", "words").mapInArrow(run, "band long, node long, lead long")
+    return texts.select("within", "skey", "words").mapInArrow(run, "band long, node long, lead long")
 
 
 def candidates(rows: DataFrame, star_above: int) -> DataFrame:
@@ -292,16 +298,17 @@ def candidates(rows: DataFrame, star_above: int) -> DataFrame:
 
 
 def _rebatched(batches: Iterator[pa.RecordBatch], least: int):
-    keys: list = []
-    blobs: list = []
+    """Lists of the columns, `least` rows at a time."""
+    parts: list[list] = []
     for batch in batches:
-        keys += batch.column(0).to_pylist()
-        blobs += batch.column(1).to_pylist()
-        if len(keys) >= least:
-            yield keys, blobs
-            keys, blobs = [], []
-    if keys:
-        yield keys, blobs
+        for s in range(0, batch.num_rows, least):
+            new = [c.to_pylist() for c in batch.slice(s, least).columns]
+            parts = [a + b for a, b in zip(parts, new)] if parts else new
+            if len(parts[0]) >= least:
+                yield parts
+                parts = []
+    if parts and parts[0]:
+        yield parts
 
 
 def similarity(a_words, b_words) -> np.ndarray:
@@ -321,6 +328,33 @@ def similarity(a_words, b_words) -> np.ndarray:
     return out
 
 
+def parity_bits(words: DataFrame) -> DataFrame:
+    """(skey, n, p0..p3) of every node: its number of words, and 256 bits, each telling if an odd number of words fall on it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            hashes, sizes = _unpack(batch.column(1).to_pylist())
+            at = (_mix(hashes) >> np.uint64(56)).astype(np.int64)
+            bit = np.uint64(1) << (at & 63).astype(np.uint64)
+            begin = np.r_[0, np.cumsum(sizes)[:-1]]
+            lanes = [np.bitwise_xor.reduceat(np.where(at >> 6 == k, bit, np.uint64(0)), begin).view(np.int64) for k in range(4)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), *map(pa.array, lanes)], ["skey", "n", "p0", "p1", "p2", "p3"])
+
+    bits = words.where("words is not null").select("skey", "words").mapInArrow(run, "skey long, n long, p0 long, p1 long, p2 long, p3 long")
+    return bits.groupBy("skey").agg(*[F.max(c).alias(c) for c in ("n", "p0", "p1", "p2", "p3")])
+
+
+def possible(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) that the numbers and parity bits of their words do not rule out: none that reaches the threshold is lost."""
+    bits = parity_bits(words)
+    ren = lambda side: bits.select(F.col("skey").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "p0", "p1", "p2", "p3")])
+    apart = sum((F.bit_count(F.col(f"p{k}_a").bitwiseXOR(F.col(f"p{k}_b"))) for k in range(1, 4)), F.bit_count(F.col("p0_a").bitwiseXOR(F.col("p0_b"))))
+    may = (apart <= (F.col("n_a") + F.col("n_b")) * ((1 - threshold) / (1 + threshold)) + 1e-9) & (F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b") - 1e-9)
+    return pairs.select("a", "b").join(ren("a"), "a").join(ren("b"), "b").where(may).select("a", "b")
+
+
 def verify(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose word sets reach the threshold."""
 
@@ -330,46 +364,83 @@ def verify(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
                 sim = similarity(batch.column(2).to_pylist(), batch.column(3).to_pylist())
                 yield batch.select([0, 1]).filter(pa.array(sim >= threshold - 1e-12))
 
-    one = words.groupBy("skey").agg(F.min("words").alias("words"))
+    one = words.where("words is not null").groupBy("skey").agg(F.first("words").alias("words"))
     full = pairs.select("a", "b").join(one.select(F.col("skey").alias("a"), F.col("words").alias("wa")), "a").join(one.select(F.col("skey").alias("b"), F.col("words").alias("wb")), "b")
     return full.select("a", "b", "wa", "wb").mapInArrow(exact, "a long, b long")
 
 
-def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.6, bands: int = 36, width: int = 3, star_above: int = 32, sketch_bits: int = 22) -> DataFrame:
+def links_of(pairs: DataFrame, words: DataFrame, threshold: float, scratch: Scratch, per_key: int = 4096) -> DataFrame:
+    """The candidate pairs that reach the threshold, cut.
+
+    The text of many pairs (the leader of a star) is the join key of all of them: it is copied, once for each `per_key` of
+    its pairs, and the pairs are spread over the copies.
+    """
+    left = scratch.cut(possible(pairs.distinct(), words, threshold))
+    busy = left.groupBy("a").count().where(F.col("count") > per_key).select(F.col("a").alias("skey"), F.ceil(F.col("count") / per_key).alias("copies"))
+    busy = scratch.cut(busy)
+    if busy.isEmpty():
+        return scratch.cut(verify(left, words, threshold))
+    calm = verify(left.join(busy.select(F.col("skey").alias("a")), "a", "left_anti"), words, threshold)
+    # A copy of a busy text has a key of its own, by which the pairs find it.
+    copy = F.xxhash64("skey", "copy")
+    copies = words.join(busy, "skey").select("id", "skey", "words", F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))).alias("copy")).select("id", copy.alias("skey"), "words")
+    hot = left.join(busy.withColumnRenamed("skey", "a"), "a").select(F.col("a").alias("skey"), "b", F.pmod(F.xxhash64("b"), "copies").cast("int").alias("copy")).select("skey", "b", copy.alias("a"))
+    names = hot.select("skey", "a").distinct()
+    found = verify(hot, words.select("id", "skey", "words").unionByName(copies), threshold)
+    return scratch.cut(calm.unionByName(found.join(names, "a").select(F.col("skey").alias("a"), "b")))
+
+
+def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.6, bands: int = 36, width: int = 3, passes: int = 2, star_above: int = 32, sketch_bits: int = 22) -> DataFrame:
     """(id, class) of every row that has a word: class is the least node key of its group of near duplicates.
 
     threshold     least Jaccard similarity of distinct words of two linked records
     bands, width  shape of the candidate search; bands * width slots make a signature
+    passes        number of parts in which the bands are made, so that one part at a time is on disk
     star_above    texts of one band value from which on pairs are formed with a leader first
     sketch_bits   log2 of the counts in the frequency sketch (4 bytes each)
     """
-    spark = df.sparkSession
-    scratch = Scratch(spark, "neardup")
+    scratch = Scratch(df.sparkSession, "neardup")
     words = scratch.cut(words_table(df, key, texts))
-    sketch = frequency_sketch(words, sketch_bits)
-    pairs = scratch.cut(candidates(band_rows(words, sketch, words.count(), bands, width, star_above, threshold), star_above))
-    release(spark)
-    starred = pairs.where("hot is not null")
-    any_star = not starred.isEmpty()
-    links = scratch.cut(verify(pairs.select("a", "b").distinct() if any_star else pairs, words, threshold))
-    groups = components(links, scratch)
-    if any_star:
-        # Compare in full what the stars left in different components.
-        groups = scratch.cut(groups)
-        nodes = starred.select(F.col("hot").alias("band"), F.explode(F.array("a", "b")).alias("node")).distinct()
-        labelled = scratch.cut(nodes.join(groups, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root")))
-        main = labelled.groupBy("band", "root").count().groupBy("band").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
-        left = labelled.join(main, "band").where("root <> main").select("band", F.col("node").alias("a"), F.col("root").alias("ra"))
-        more = left.join(labelled.select("band", F.col("node").alias("b"), F.col("root").alias("rb")), "band").where("ra <> rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        extra = scratch.cut(verify(scratch.cut(more), words, threshold))
+    nodes = words.where("words is not null").select(F.lit(0).cast("long").alias("within"), "skey", "words")
+    sketch, n_rows = frequency_sketch(words, sketch_bits), words.count()
+    pairs = None
+    for p in range(passes):
+        share = bands * (p + 1) // passes - bands * p // passes
+        part = scratch.cut(candidates(band_rows(nodes, sketch, n_rows, share, width, star_above, threshold, p), star_above))
+        pairs = part if pairs is None else pairs.unionByName(part)
+    links = links_of(pairs.select("a", "b"), words, threshold, scratch)
+    groups = scratch.cut(components(links, scratch))
+    starred, salt = pairs.where("hot is not null"), passes
+    while not starred.isEmpty():
+        # What the stars left in different components, together with all other texts of such a bucket.
+        at = starred.select(F.col("hot").alias("band"), F.explode(F.array("a", "b")).alias("node")).distinct().join(groups, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+        at = scratch.cut(at)
+        open_ = at.groupBy("band").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("band")
+        again = scratch.cut(at.join(open_, "band").join(words.where("words is not null").select(F.col("skey").alias("node"), "words").dropDuplicates(["node"]), "node").select(F.col("band").alias("within"), F.col("node").alias("skey"), "words"))
+        if again.isEmpty():
+            break
+        width += 1
+        # So many bands that a pair at the threshold is missed with probability MISS at most.
+        more = int(np.ceil(np.log(MISS) / np.log1p(-(threshold**width))))
+        found = scratch.cut(candidates(band_rows(again, None, n_rows, more, width, star_above, threshold, salt), star_above))
+        extra = links_of(found.select("a", "b"), words, threshold, scratch)
+        starred, salt = found.where("hot is not null"), salt + 1
         if not extra.isEmpty():
-            groups = components(links.unionByName(extra), scratch)
+            links = links.unionByName(extra)
+            groups = scratch.cut(components(links, scratch))
     ids = words.select("id", "skey")
     return ids.join(groups.select(F.col("node").alias("skey"), "root"), "skey", "left").select("id", F.coalesce("root", "skey").alias("class"))
 
 
-def pairs_in_classes(members: DataFrame) -> DataFrame:
-    """All pairs (a, b; a < b) of rows in the same class, where the result asks for them."""
-    busy = members.groupBy("class").count().where("count > 1").select("class")
-    inside = members.join(busy, "class")
-    return inside.select("class", F.col("id").alias("a")).join(inside.select("class", F.col("id").alias("b")), "class").where("a < b").select("a", "b")
+def pairs_in_classes(members: DataFrame, block: int = 1024) -> DataFrame:
+    """All pairs (a, b; a < b) of rows in the same class, where the result asks for them.
+
+    A class of more than `block` rows is cut into blocks by a hash of the id; every pair of blocks is a join key of its own,
+    so no task holds a whole class.
+    """
+    busy = members.groupBy("class").count().where("count > 1").select("class", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
+    inside = members.join(busy, "class").withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = inside.select("class", F.col("id").alias("a"), F.col("own").alias("x"), other.alias("y"))
+    right = inside.select("class", F.col("id").alias("b"), F.col("own").alias("y"), other.alias("x"))
+    return left.join(right, ["class", "x", "y"]).where("a < b").select("a", "b")
