@@ -7,13 +7,14 @@ same shared folder is computed once, is columnar and compressed, and survives th
 from __future__ import annotations
 
 import atexit
-import gc
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _OWN_FOLDER: dict[str, str] = {}
 
 
@@ -49,13 +50,18 @@ class Scratch:
         atexit.register(_delete, spark, self.folder)
 
     def put(self, df: DataFrame, partition_by: str | None = None) -> str:
-        """Write df as a new table; gives its path."""
+        """Write df as a new table; gives its path. The shuffle files of the job are deleted when the table is whole."""
         path = f"{self.folder}/t{self._next}"
         self._next += 1
         writer = df.write.mode("overwrite").option("compression", "zstd")
         if partition_by:
             writer = writer.partitionBy(partition_by)
-        writer.parquet(path)
+        before = self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            writer.parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         return path
 
     def get(self, path: str, schema=None) -> DataFrame:
@@ -70,12 +76,6 @@ class Scratch:
         _delete(self.spark, path)
 
 
-def release(spark: SparkSession) -> None:
-    """Asks the driver's JVM to look for finished shuffles now, so that executors can delete their files before the next step."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def with_dense_ids(scratch: Scratch, df: DataFrame, name: str = "id") -> DataFrame:
     """df with a unique long per row, fixed by writing the table once."""
     return scratch.cut(df.withColumn(name, F.monotonically_increasing_id()))
