@@ -67,11 +67,19 @@ def _unpack(blobs) -> tuple[np.ndarray, np.ndarray]:
     return out.view("<u8").ravel(), sizes
 
 
+class _Hashes(dict):
+    """Hashes of words, kept."""
+
+    def __missing__(self, word: str) -> int:
+        h = self[word] = xxhash.xxh3_64_intdigest(word) & MASK
+        return h
+
+
 def words_table(df: DataFrame, key: str, texts: list[str]) -> DataFrame:
     """id, skey, words of every row that has a word; of the copies in one map task only the first keeps its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
+        known = _Hashes()
         seen: set[int] = set()
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
@@ -80,11 +88,7 @@ def words_table(df: DataFrame, key: str, texts: list[str]) -> DataFrame:
                 found = set(_WORD.findall(text.lower()))
                 if not found:
                     continue
-                for w in found:
-                    h = known.get(w)
-                    if h is None:
-                        h = known[w] = digest(w) & MASK
-                    flat.append(h)
+                flat += map(known.__getitem__, found)
                 ids.append(i)
                 sizes.append(len(found))
             if len(known) > 2_000_000:
@@ -390,7 +394,7 @@ def links_of(pairs: DataFrame, words: DataFrame, threshold: float, scratch: Scra
     return scratch.cut(calm.unionByName(found.join(names, "a").select(F.col("skey").alias("a"), "b")))
 
 
-def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.6, bands: int = 36, width: int = 3, passes: int = 2, star_above: int = 32, sketch_bits: int = 22) -> DataFrame:
+def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.6, bands: int = 36, width: int = 3, passes: int = 2, star_above: int = 256, sketch_bits: int = 22) -> DataFrame:
     """(id, class) of every row that has a word: class is the least node key of its group of near duplicates.
 
     threshold     least Jaccard similarity of distinct words of two linked records
