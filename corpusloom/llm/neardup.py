@@ -33,6 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +44,7 @@ _WORD = re.compile(r"[^\W_]+")
 BYTES = 5  # of a word's hash
 MASK = (1 << 8 * BYTES) - 1
 DEPTH = 12  # the least weight is 2 ** -DEPTH
+PART = 2_000_000  # band values that one task holds
 RARE = 16  # words of at most so many rows weigh 1,
 SHARE = 1 / 2000  # and words of at most so large a share of all rows,
 KNEE = 1 / 240  # words of at most this share weigh 1 / 2, more frequent ones KNEE / share / 2
@@ -93,8 +95,8 @@ def words_table(df: DataFrame, key: str, texts: list[str]) -> DataFrame:
                 sizes.append(len(found))
             if len(known) > 2_000_000:
                 known.clear()
-            hashes = np.array(flat, dtype="<u8")
-            hashes = hashes[np.lexsort((hashes, np.repeat(np.arange(len(sizes)), sizes)))]
+            # Sorted by text and hash in one key; a batch has fewer than 2 ** 24 rows.
+            hashes = np.sort(np.array(flat, dtype="<u8") | np.repeat(np.arange(len(sizes), dtype="<u8") << np.uint64(8 * BYTES), sizes))
             packed = hashes.view(np.uint8).reshape(-1, 8)[:, :BYTES].tobytes()
             ends = np.cumsum(sizes) * BYTES
             blobs = [packed[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())] if sizes else []
@@ -117,7 +119,8 @@ def frequency_sketch(words: DataFrame, bits: int) -> np.ndarray:
         total = np.zeros(1 << bits, dtype=np.int64)
         for batch in batches:
             hashes, _ = _unpack(batch.column(0).to_pylist())
-            total += np.bincount((hashes & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
+            slots, n = np.unique((hashes & np.uint64((1 << bits) - 1)).astype(np.int64), return_counts=True)
+            total[slots] += n
         slots = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(total[slots])], ["slot", "n"])
 
@@ -215,17 +218,18 @@ def _band_rows(keys: np.ndarray, within: np.ndarray, sig: np.ndarray, bands: int
     return v, node, np.where(hot, lead, 0), hot
 
 
-def band_rows(texts: DataFrame, sketch: np.ndarray | None, n_rows: int, bands: int, width: int, star_above: int, threshold: float, salt: int = 0) -> DataFrame:
-    """(band, node, lead) rows of texts (within, skey, words): lead is null but where a map task tied a band value's nodes to a leader (itself among them).
+def band_rows(texts: DataFrame, sketch: Broadcast | None, n_rows: int, parts: int, bands: int, width: int, star_above: int, threshold: float, salt: int = 0) -> DataFrame:
+    """The band values of texts (within, skey, words), packed: (part, free, tied) with the rows of one batch whose band value falls on the part.
 
+    free   (value, node, 0 or 1 for a leader) of nodes that still look for partners
+    tied   (value, node, leader) of nodes which the map task has tied to the leader of their band value
     Only texts with the same `within` can share a band value. Without a sketch all words weigh the same.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(sketch)
     slots = bands * width
     step = max(256, 32_768 * 54 // slots)  # so that a batch of signatures stays small however long they are
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
+        counts = None if sketch is None else sketch.value
         mask = np.uint64(0 if counts is None else len(counts) - 1)
 
         def level_of(h):
@@ -244,61 +248,74 @@ def band_rows(texts: DataFrame, sketch: np.ndarray | None, n_rows: int, bands: i
                 continue
             sig = np.ascontiguousarray(sign(hashes, sizes, level_of, slots, salt))
             v, node, lead, hot = _band_rows(k, inside, sig, bands, width, star_above, salt)
-            yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(node), pa.array(lead, mask=~hot)], ["band", "node", "lead"])
-
-    return texts.select("within", "skey", "words").mapInArrow(run, "band long, node long, lead long")
+            tied = hot & (lead != node)
+            # Nodes that are tied already need no bucket and are spread over all parts.
+            part = np.where(tied, _mix(node.view(np.uint64)), v.view(np.uint64)) % np.uint64(parts)
+            order = np.argsort(part, kind="stable")
+            cut = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
+            out: list[list] = [[], [], []]
+            for p in range(parts):
+                at = order[cut[p] : cut[p + 1]]
+                if len(at):
+                    t = at[tied[at]]
+                    f = at[~tied[at]]
+                    out[0].append(p)
+                    out[1].append(np.concatenate([v[f], node[f], hot[f].astype(np.int64)]).tobytes() if hot[f].any() else np.concatenate([v[f], node[f]]).tobytes() + b"-")
+                    out[2].append(np.concatenate([v[t], node[t], lead[t]]).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())], ["part", "free", "tied"])
+
+    return texts.select("within", "skey", "words").mapInArrow(run, "part int, free binary, tied binary")
+
+
+def _pairs_of(v: np.ndarray, node: np.ndarray, led: np.ndarray, star_above: int):
+    """Pairs (a, b, band value, whether of a star) of the nodes that share a band value. A value with a leader or with many nodes makes a star."""
+    order = np.lexsort((node, led == 0, v))
+    v, node, led = v[order], node[order], led[order]
+    keep = np.r_[True, (v[1:] != v[:-1]) | (node[1:] != node[:-1])] if len(v) else np.zeros(0, dtype=bool)
+    v, node, led = v[keep], node[keep], led[keep]
+    begin = np.flatnonzero(np.r_[True, v[1:] != v[:-1]]) if len(v) else np.zeros(0, dtype=np.int64)
+    size = np.diff(np.r_[begin, len(v)])
+    star = (led[begin] == 1) | (size > star_above)
+    # A star ties all others to the first; in a small bucket each is paired with all that follow.
+    after = np.repeat(begin + size, size) - np.arange(len(v)) - 1
+    first = np.zeros(len(v), dtype=bool)
+    first[begin] = True
+    n = np.where(np.repeat(star, size) & ~first, 0, after)
+    a = np.repeat(np.arange(len(v)), n)
+    b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
+    return node[a], node[b], v[a], np.repeat(star, size)[a]
 
 
-def candidates(rows: DataFrame, star_above: int) -> DataFrame:
-    """Candidate pairs (a, b, hot), each once for each hot: a starred band value that the pair comes from, else null.
+def candidates(rows: DataFrame, parts: int, star_above: int) -> DataFrame:
+    """Candidate pairs (a, b, hot), with repeats; hot: a starred band value that the pair comes from, else null.
 
     The pairs of a starred band value tie all its nodes to one another, directly or through the leaders of map tasks.
+    A task holds the packed values of one part, 16 bytes each, of which `parts` makes about PART.
     """
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs of the nodes of each band value, from rows sorted by it with leaders first; a long run becomes a star."""
-        last_v = last_lead = None
-        members: list[int] = []
-        hot = False
+        free: list[np.ndarray] = []
+
+        def show(a, b, h, star):
+            at = np.flatnonzero(a != b)
+            for s in range(0, len(at), 500_000):
+                x = at[s : s + 500_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a[x], b[x])), pa.array(np.maximum(a[x], b[x])), pa.array(h[x], mask=~star[x])], ["a", "b", "hot"])
+
         for batch in batches:
-            v, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            led = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
-            lead = batch.column(2).fill_null(0).to_numpy()
-            tied = led & (lead != node)
-            a, b, h = lead[tied].tolist(), node[tied].tolist(), v[tied].tolist()
-            v, node, led = v[~tied], node[~tied], led[~tied]
-            begin = np.flatnonzero(np.r_[True, v[1:] != v[:-1]]) if len(v) else np.array([], dtype=np.int64)
-            size = np.diff(np.r_[begin, len(v)])
-            busy = size > 1
-            if len(begin):
-                busy[0] = busy[-1] = True  # may go on in the neighbouring batch
-            for s, c in zip(begin[busy].tolist(), size[busy].tolist()):
-                if v[s] != last_v:
-                    last_v, members, hot = v[s], [], bool(led[s])
-                    last_lead = int(node[s])
-                for x in node[s : s + c].tolist():
-                    if members and x == members[-1]:
-                        continue
-                    if not hot and len(members) >= star_above:
-                        hot = True
-                        a += [last_lead] * len(members)
-                        b += members
-                        h += [int(last_v)] * len(members)
-                    if hot:
-                        a.append(last_lead)
-                        b.append(x)
-                        h.append(int(last_v))
-                    else:
-                        a += members
-                        b += [x] * len(members)
-                        h += [None] * len(members)
-                        members.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(h, pa.int64())], ["a", "b", "hot"])
-
-    # Nodes that are tied already need no bucket and are spread over all tasks.
-    to = F.when(F.col("lead") != F.col("node"), F.col("node")).otherwise(F.col("band"))
-    pairs = rows.repartition(to).sortWithinPartitions("band", F.col("lead").isNull(), "node").mapInArrow(pair, "a long, b long, hot long")
-    return pairs.where("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "hot").agg(F.lit(1).alias("one")).drop("one")
+            for f, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                if f[-1:] == b"-" and len(f) % 8 == 1:
+                    x = np.frombuffer(f[:-1], dtype=np.int64).reshape(2, -1)
+                    free.append(np.stack([x[0], x[1], np.zeros(x.shape[1], dtype=np.int64)]))
+                elif f:
+                    free.append(np.frombuffer(f, dtype=np.int64).reshape(3, -1))
+                if t:
+                    v, node, lead = np.frombuffer(t, dtype=np.int64).reshape(3, -1)
+                    yield from show(lead, node, v, np.ones(len(v), dtype=bool))
+        if free:
+            yield from show(*_pairs_of(*np.concatenate(free, axis=1), star_above))
+
+    return rows.repartitionById(parts, F.col("part")).mapInArrow(pair, "a long, b long, hot long")
 
 
 def _rebatched(batches: Iterator[pa.RecordBatch], least: int):
@@ -387,10 +404,10 @@ def links_of(pairs: DataFrame, words: DataFrame, threshold: float, scratch: Scra
     calm = verify(left.join(busy.select(F.col("skey").alias("a")), "a", "left_anti"), words, threshold)
     # A copy of a busy text has a key of its own, by which the pairs find it.
     copy = F.xxhash64("skey", "copy")
-    copies = words.join(busy, "skey").select("id", "skey", "words", F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))).alias("copy")).select("id", copy.alias("skey"), "words")
+    copies = words.join(busy, "skey").select("skey", "words", F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))).alias("copy")).select(copy.alias("skey"), "words")
     hot = left.join(busy.withColumnRenamed("skey", "a"), "a").select(F.col("a").alias("skey"), "b", F.pmod(F.xxhash64("b"), "copies").cast("int").alias("copy")).select("skey", "b", copy.alias("a"))
     names = hot.select("skey", "a").distinct()
-    found = verify(hot, words.select("id", "skey", "words").unionByName(copies), threshold)
+    found = verify(hot, words.select("skey", "words").unionByName(copies), threshold)
     return scratch.cut(calm.unionByName(found.join(names, "a").select(F.col("skey").alias("a"), "b")))
 
 
@@ -403,14 +420,17 @@ def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.6, b
     star_above    texts of one band value from which on pairs are formed with a leader first
     sketch_bits   log2 of the counts in the frequency sketch (4 bytes each)
     """
-    scratch = Scratch(df.sparkSession, "neardup")
+    spark = df.sparkSession
+    scratch = Scratch(spark, "neardup")
     words = scratch.cut(words_table(df, key, texts))
     nodes = words.where("words is not null").select(F.lit(0).cast("long").alias("within"), "skey", "words")
-    sketch, n_rows = frequency_sketch(words, sketch_bits), words.count()
+    sketch, n_rows = spark.sparkContext.broadcast(frequency_sketch(words, sketch_bits)), words.count()
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pairs = None
     for p in range(passes):
         share = bands * (p + 1) // passes - bands * p // passes
-        part = scratch.cut(candidates(band_rows(nodes, sketch, n_rows, share, width, star_above, threshold, p), star_above))
+        parts = max(least, n_rows * share // PART + 1)
+        part = scratch.cut(candidates(band_rows(nodes, sketch, n_rows, parts, share, width, star_above, threshold, p), parts, star_above))
         pairs = part if pairs is None else pairs.unionByName(part)
     links = links_of(pairs.select("a", "b"), words, threshold, scratch)
     groups = scratch.cut(components(links, scratch))
@@ -420,18 +440,27 @@ def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.6, b
         at = starred.select(F.col("hot").alias("band"), F.explode(F.array("a", "b")).alias("node")).distinct().join(groups, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
         at = scratch.cut(at)
         open_ = at.groupBy("band").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("band")
-        again = scratch.cut(at.join(open_, "band").join(words.where("words is not null").select(F.col("skey").alias("node"), "words").dropDuplicates(["node"]), "node").select(F.col("band").alias("within"), F.col("node").alias("skey"), "words"))
-        if again.isEmpty():
+        texts_ = words.where("words is not null").select(F.col("skey").alias("node"), "words")
+        again = scratch.cut(at.join(open_, "band").select("band", "node").join(texts_, "node").groupBy("band", "node").agg(F.first("words").alias("words")).select(F.col("band").alias("within"), F.col("node").alias("skey"), "words"))
+        n_again = again.count()
+        if not n_again:
             break
         width += 1
         # So many bands that a pair at the threshold is missed with probability MISS at most.
         more = int(np.ceil(np.log(MISS) / np.log1p(-(threshold**width))))
-        found = scratch.cut(candidates(band_rows(again, None, n_rows, more, width, star_above, threshold, salt), star_above))
-        extra = links_of(found.select("a", "b"), words, threshold, scratch)
+        parts = max(least, n_again * more // PART + 1)
+        found = scratch.cut(candidates(band_rows(again, None, n_rows, parts, more, width, star_above, threshold, salt), parts, star_above))
+        label = groups.select(F.col("node").alias("a"), F.col("root").alias("ra")), groups.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+        apart = found.select("a", "b").distinct().join(label[0], "a", "left").join(label[1], "b", "left").select("a", "b", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb")).where("ra <> rb")
+        apart = scratch.cut(apart)
+        extra = links_of(apart.select("a", "b"), again.select("skey", "words"), threshold, scratch)
         starred, salt = found.where("hot is not null"), salt + 1
         if not extra.isEmpty():
-            links = links.unionByName(extra)
-            groups = scratch.cut(components(links, scratch))
+            # Only roots are joined; what hangs on them follows.
+            joined = components(extra.join(apart, ["a", "b"]).select(F.col("ra").alias("a"), F.col("rb").alias("b")), scratch)
+            over = joined.select(F.col("node").alias("root"), F.col("root").alias("top"))
+            alone = joined.select("node").join(groups, "node", "left_anti").select("node", F.col("node").alias("root"))
+            groups = scratch.cut(groups.unionByName(alone).join(over, "root", "left").select("node", F.coalesce("top", "root").alias("root")))
     ids = words.select("id", "skey")
     return ids.join(groups.select(F.col("node").alias("skey"), "root"), "skey", "left").select("id", F.coalesce("root", "skey").alias("class"))
 
