@@ -173,7 +173,10 @@ def sign(hashes: np.ndarray, sizes: np.ndarray, level_of, slots: int, salt: int
     time[np.arange(DEPTH + 1)[None, :] < level[:, None]] = np.inf  # intervals above the weight
     block = 0
     while len(owner):
-        used, local = np.unique(inverse, return_inverse=True)
+        used = np.flatnonzero(np.bincount(inverse, minlength=len(vocab)))
+        rank = np.empty(len(vocab), dtype=np.int64)
+        rank[used] = np.arange(len(used))
+        local = rank[inverse]
         first = np.empty((len(used), slots), dtype=np.float32)
         for s in range(0, len(used), 2048):
             w = used[s : s + 2048]
@@ -411,12 +414,12 @@ def links_of(pairs: DataFrame, words: DataFrame, threshold: float, scratch: Scra
     return scratch.cut(calm.unionByName(found.join(names, "a").select(F.col("skey").alias("a"), "b")))
 
 
-def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.6, bands: int = 36, width: int = 3, passes: int = 2, star_above: int = 256, sketch_bits: int = 22) -> DataFrame:
+def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.6, bands: int = 36, width: int = 3, passes: int = 1, star_above: int = 256, sketch_bits: int = 22) -> DataFrame:
     """(id, class) of every row that has a word: class is the least node key of its group of near duplicates.
 
     threshold     least Jaccard similarity of distinct words of two linked records
     bands, width  shape of the candidate search; bands * width slots make a signature
-    passes        number of parts in which the bands are made, so that one part at a time is on disk
+    passes        number of parts in which the bands are made; with more of them less is on disk at once, for more work
     star_above    texts of one band value from which on pairs are formed with a leader first
     sketch_bits   log2 of the counts in the frequency sketch (4 bytes each)
     """
