@@ -414,7 +414,7 @@ def links_of(pairs: DataFrame, words: DataFrame, threshold: float, scratch: Scra
     return scratch.cut(calm.unionByName(found.join(names, "a").select(F.col("skey").alias("a"), "b")))
 
 
-def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.6, bands: int = 36, width: int = 3, passes: int = 1, star_above: int = 256, sketch_bits: int = 22) -> DataFrame:
+def classes(df: DataFrame, key: str, texts: list[str], threshold: float = 0.6, bands: int = 40, width: int = 3, passes: int = 1, star_above: int = 256, sketch_bits: int = 22) -> DataFrame:
     """(id, class) of every row that has a word: class is the least node key of its group of near duplicates.
 
     threshold     least Jaccard similarity of distinct words of two linked records

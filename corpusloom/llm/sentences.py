@@ -9,7 +9,9 @@ a paragraph in training, ...), the kind of character that follows, what the mark
 opened at the start of a sentence, which depends on the tag before.
 
 Weights and the list of tokens that never end a paragraph are trained by train_sentences.py and stored beside this
-module. Scripts that end sentences without marks are trained on text from which marks have been stripped.
+module; titles that a name follows (TITLES) stand for what the training texts
+lack. Scripts that end sentences without marks are trained on text from which marks have been stripped. Of the token before
+a mark the last 30 characters are looked at, of what is before a number the last 40: longer tokens are no abbreviations.
 
 Null texts give no rows; nor do texts without any character but white space. Memory and time are linear in the text.
 """
@@ -37,41 +39,53 @@ _PAIRED = re.compile(r"[“”„«»()\[\]「」『』（）《》【】‚‘
 _TOKEN = re.compile(r"[^\s.!?…。．｡！？؟।॥|(\[（「『«“„\"]+$")
 CJK = re.compile(r"[぀-ヿ㐀-鿿＀-￯]")
 DEVANAGARI = re.compile(r"[ऀ-ॿ]")
+#: Abbreviated titles and ranks, which a name follows.
+TITLES = frozenset(
+    "Mr Mrs Ms Messrs Mx Dr Drs Prof St Lt Col Gen Maj Capt Cpl Sgt Cmdr Adm Brig Rev Hon Gov Sen Rep Mt Ft viz cf vs approx ca "
+    "Sr Sra Srta Srs Dra Dres Lic Ing Arq Gral Cnel Exmo Exma Ilmo Eng Profa "
+    "Mme Mmes Mlle Mlles Mgr Vve réf Hr Frl bzw Dipl Hrsg "
+    "św ks inż mgr hab płk gen kpt ppłk prof tzw им ул просп проф акад доц инж напр डॉ श्री प्रो".split()
+)
 _MODEL = Path(__file__).with_name("sentence_model.json")
 
 
 @lru_cache(maxsize=1)
 def model() -> dict:
     found = json.loads(_MODEL.read_text(encoding="utf-8"))
-    return {"never": frozenset(found["never"]), "weights": found["weights"], "folded": frozenset(w.lower() for w in found["never"])}
-
-
-NEST = 32  # marks open at once; the outermost of more is taken for one that nothing closes
+    never = TITLES.union(found["never"])
+    return {"never": never, "weights": found["weights"], "folded": frozenset(w.lower() for w in never)}
 
 
 def spans(text: str) -> list[tuple[int, int]]:
     """Matched quotes and brackets as (position of the opener, position of the closer), outermost only, for one unit."""
     out: list[tuple[int, int]] = []
     stack: list[tuple[str, int]] = []
+    waits: dict[str, list[int]] = {}  # for every closing mark, the places in the stack of what it closes
     n = len(text)
+
+    def opens(closers: str, i: int) -> None:
+        for c in closers:
+            waits.setdefault(c, []).append(len(stack))
+        stack.append((closers, i))
+
     for m in _PAIRED.finditer(text):
         ch, i = m.group(), m.start()
         before, after = text[i - 1] if i else " ", text[i + 1] if i + 1 < n else " "
         if ch in "'’‘" and before.isalnum() and after.isalnum():
             continue  # an apostrophe
-        at = next((k for k in range(len(stack) - 1, -1, -1) if ch in stack[k][0]), None)
+        at = waits[ch][-1] if waits.get(ch) else None
         if at is not None and not (ch == "'" and not (after.isspace() or after in ".,;:!?)") and not before in MARKS):
             _, start = stack[at]
-            del stack[at:]
+            while len(stack) > at:
+                for c in stack.pop()[0]:
+                    waits[c].pop()
             while out and out[-1][0] > start:
                 out.pop()
             out.append((start, i))
         elif ch in OPENERS and ch not in "’" or ch == '"':
-            stack.append((OPENERS.get(ch, ch), i))
+            opens(OPENERS.get(ch, ch), i)
         elif ch == "'" and (before.isspace() or before in "([") and not after.isspace():
-            stack.append(("'", i))
-        if len(stack) > NEST:
-            del stack[0]
+            opens("'", i)
     return out
 
 
