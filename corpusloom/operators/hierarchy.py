@@ -14,8 +14,9 @@ One phase is one shuffle: state rows and messages to neighbours are united and a
 aggregation before the shuffle, so that a parent of a third of all rows gets one partial sum per map task. Nothing is
 collected; tables between phases lie in the shared checkpoint folder.
 
-Once a rake leaves at most `tail_rows` nodes (a checked bound, some MB), one task finishes them in memory; that saves the
-dozens of tiny jobs in which long chains and cycles would otherwise end. The result is the same for any tail_rows.
+Once a rake leaves at most `tail_rows` nodes (a checked bound, under a MB), one task finishes them in memory; that saves
+the tiny jobs in which long chains and cycles would otherwise end. The result is the same for any tail_rows, also for 0.
+If only contracted cycles are left, however many, one narrow projection names them; no task gathers them.
 """
 
 from __future__ import annotations
@@ -104,7 +105,7 @@ def _finish(parts: Iterator[pd.DataFrame], paths: bool) -> Iterator[pd.DataFrame
     yield pd.DataFrame(out)
 
 
-def resolve(links: DataFrame, keep: tuple[str, ...] = ("level",), paths: bool = False, tail_rows: int = 100_000) -> DataFrame:
+def resolve(links: DataFrame, keep: tuple[str, ...] = ("level",), paths: bool = False, tail_rows: int = 4096) -> DataFrame:
     """Resolve every node of `links` (grp, key, parent and the columns of keep; one row per grp and key).
 
     Gives grp, key, the columns of keep and
@@ -175,14 +176,21 @@ def resolve(links: DataFrame, keep: tuple[str, ...] = ("level",), paths: bool =
             news = message(removed, "cx", new_p="p", w="w", carry="acc + carry", pre=F.concat("seg", F.array("id")) if paths else None).unionByName(message(removed, "p", cx="id ^ cx", ccarry="ccarry + acc"))
         state = settle(state_rows(left).unionByName(news))
         # Only nodes that are their own parent can stay for good.
-        if rake and (left.count() <= tail_rows or left.where("p is null or p <> id or nch > 1").isEmpty()):
-            break
+        if rake:
+            few = left.count() <= tail_rows
+            if few or left.where("p is null or p <> id or nch > 1").isEmpty():
+                break
         phase += 1
 
     # Expansion, last phase first.
     cols = ["id", "root", "depth", "status", "size"] + (["path"] if paths else [])
     kinds = "id long, root long, depth long, status string, size long" + (", path array<long>" if paths else "")
-    done = scratch.cut(state.coalesce(1).mapInPandas(lambda parts: _finish(parts, paths), kinds))
+    if few:
+        done = scratch.cut(state.coalesce(1).mapInPandas(lambda parts: _finish(parts, paths), kinds))
+    else:
+        none = [F.lit(None).cast("array<long>").alias("path")] if paths else []
+        nothing = F.lit(None).cast("long")
+        done = scratch.cut(state.select("id", nothing.alias("root"), nothing.alias("depth"), F.lit("on_cycle").alias("status"), nothing.alias("size"), *none))
     for k in range(len(records) - 1, -1, -1):
         rec = records[k]
         known = done.select(F.col("id").alias("p"), F.col("root").alias("a_root"), F.col("depth").alias("a_depth"), F.col("status").alias("a_status"), *([F.col("path").alias("a_path")] if paths else []))
