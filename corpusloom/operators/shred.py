@@ -18,8 +18,10 @@ inside envelope objects.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from json.decoder import scanstring
 
 import numpy as np
 import pandas as pd
@@ -67,14 +69,102 @@ def _refuse(name: str):
     raise ValueError(f"{name} is no JSON")
 
 
+_BLANK = re.compile(r"[ \t\n\r]*")
+_SCALAR = re.compile(r"(null|true|false)|(-?(?:0|[1-9][0-9]*))(\.[0-9]+)?([eE][-+]?[0-9]+)?")
+_CONSTANTS = {"null": None, "true": True, "false": False}
+
+
+def _parse_deep(text: str):
+    """json.loads without recursion, for nesting beyond it: open containers are kept on a stack."""
+    skip = _BLANK.match
+    i, n = skip(text, 0).end(), len(text)
+    holders: list = []  # open objects and arrays; for an object, also the name that waits for a value
+    names: list = []
+    while True:
+        ch = text[i : i + 1]
+        if ch in ("{", "["):
+            value = {} if ch == "{" else []
+            i = skip(text, i + 1).end()
+            if text[i : i + 1] == ("}" if ch == "{" else "]"):
+                i += 1
+            else:
+                holders.append(value)
+                names.append(None)
+                if ch == "{":
+                    names[-1], i = _name(text, i)
+                continue
+        elif ch == '"':
+            value, i = scanstring(text, i + 1, True)
+        else:
+            m = _SCALAR.match(text, i)
+            if not m:
+                raise ValueError(f"no JSON at {i}")
+            i = m.end()
+            value = _CONSTANTS[m[1]] if m[1] else float(m[0]) if m[3] or m[4] else int(m[2])
+        while True:  # the value goes into what holds it, which may close
+            i = skip(text, i).end()
+            if not holders:
+                if i < n:
+                    raise ValueError(f"more text at {i}")
+                return value
+            top = holders[-1]
+            if isinstance(top, dict):
+                top[names[-1]] = value
+            else:
+                top.append(value)
+            ch = text[i : i + 1]
+            i = skip(text, i + 1).end()
+            if ch == ",":
+                if isinstance(top, dict):
+                    names[-1], i = _name(text, i)
+                break
+            if ch != ("}" if isinstance(top, dict) else "]"):
+                raise ValueError(f"no JSON at {i}")
+            value = holders.pop()
+            names.pop()
+
+
+def _name(text: str, i: int) -> tuple[str, int]:
+    """The name of a member that starts at i, and where its value starts."""
+    if text[i : i + 1] != '"':
+        raise ValueError(f"no name at {i}")
+    name, i = scanstring(text, i + 1, True)
+    i = _BLANK.match(text, i).end()
+    if text[i : i + 1] != ":":
+        raise ValueError(f"no colon at {i}")
+    return name, _BLANK.match(text, i + 1).end()
+
+
+def _dump_deep(value) -> str:
+    """json.dumps without recursion."""
+    out: list[str] = []
+    todo: list = [("value", value)]
+    while todo:
+        kind, v = todo.pop()
+        if kind == "text" or not isinstance(v, (dict, list)):
+            out.append(v if kind == "text" else json.dumps(v, ensure_ascii=False))
+            continue
+        parts: list = []
+        for k, x in v.items() if isinstance(v, dict) else enumerate(v):
+            parts += [("text", ", " * bool(parts) + (f"{json.dumps(k, ensure_ascii=False)}: " if isinstance(v, dict) else "")), ("value", x)]
+        out.append("{" if isinstance(v, dict) else "[")
+        todo += [("text", "}" if isinstance(v, dict) else "]"), *reversed(parts)]
+    return "".join(out)
+
+
 def parse(payload: str | None):
-    """The value of well-formed JSON, else None. NaN and infinities are not well formed; nor is nesting beyond the parser."""
+    """The value of well-formed JSON, nested however deeply, else None. NaN and infinities are not well formed."""
     if payload is None:
         return None
     try:
         return json.loads(payload, parse_constant=_refuse)
-    except (ValueError, RecursionError):
+    except ValueError:
         return None
+    except RecursionError:
+        try:
+            return _parse_deep(payload)
+        except ValueError:
+            return None
 
 
 def locate(value, names: frozenset[str]):
@@ -118,7 +208,7 @@ def _text(v) -> str | None:
         try:
             v = json.dumps(v, ensure_ascii=False)
         except RecursionError:
-            return None
+            v = _dump_deep(v)
     return v if v.isascii() else v.encode("utf-8", "replace").decode("utf-8")
 
 
@@ -139,6 +229,13 @@ class _Columns:
         c[2].append(v)
 
 
+def _below(path: str, name: str) -> str:
+    """The path of a repeated group below another; a name that follows itself is counted, so that deep paths stay short."""
+    head, _, last = path.rpartition("/")
+    base, _, times = last.partition("*")
+    return f"{head}/{name}*{int(times or 1) + 1}" if head and base == name else f"{path}/{name}"
+
+
 class _Node:
     """A repeated path as found in one record: its leaves and the paths below."""
 
@@ -165,7 +262,7 @@ def _shape(node: _Node, items: list, fields: bool) -> None:
                 lists = [e for _, e in keyed_lists(v)] if inner.keyed else [elements(v)]
                 if any(lists):
                     if name not in at.below:
-                        at.below[name] = _Node(inner, f"{at.path}/{name}")
+                        at.below[name] = _Node(inner, _below(at.path, name))
                     stack += [(at.below[name], e) for e in lists]
 
 
@@ -233,7 +330,7 @@ def shred(df: DataFrame, key: str, payload: str, groups: dict[str, Group] = RECO
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import sys
 
-        sys.setrecursionlimit(max(sys.getrecursionlimit(), 20_000))
+        sys.setrecursionlimit(1 << 30)  # calls between Python functions take no C stack
         sys.set_int_max_str_digits(0)
         for pdf in batches:
             rows = []
@@ -247,19 +344,31 @@ def shred(df: DataFrame, key: str, payload: str, groups: dict[str, Group] = RECO
     return df.select(F.col(key).alias("key"), F.col(payload).alias("payload")).where("payload is not null").mapInPandas(run, f"key {kind}, {COLUMNS}")
 
 
-def _group_at(groups: dict[str, Group], path: str) -> list[Group]:
-    out: list[Group] = []
-    for name in path.split("/"):
-        g = out[-1].child(name) if out else groups[name]
-        assert g is not None
-        out.append(g)
-    return out
+def _group_at(groups: dict[str, Group], path: str) -> tuple[Group, int]:
+    """The group at a path and its number of repetition levels."""
+    at: Group | None = None
+    depth = 0
+    for step in path.split("/"):
+        name, _, times = step.partition("*")
+        before, at = at, at.child(name) if at else groups[name]
+        assert at is not None and (not times or at is before)  # only what holds its own kind follows itself
+        depth += int(times or 1) * (1 + at.keyed)
+    assert at is not None
+    return at, depth
 
 
 def positions(reps: np.ndarray, depth: int) -> np.ndarray:
     """Index at each repetition level (columns 1..depth) of every value, from its repetition level alone."""
     n = len(reps)
     out = np.zeros((n, depth), dtype=np.int64)
+    if n < depth:  # few values far down: value by value
+        for i, r in enumerate(reps.tolist()):
+            if i:
+                out[i] = out[i - 1]
+            if r:
+                out[i, r - 1] += 1
+            out[i, r:] = 0
+        return out
     at = np.arange(n)
     for j in range(1, depth + 1):
         ticks = np.cumsum(reps == j)
@@ -271,9 +380,7 @@ def positions(reps: np.ndarray, depth: int) -> np.ndarray:
 def _assembler(groups: dict[str, Group], want: list[str], kind: str | None = None):
     """Makes rows (key, kind, pos, parent_pos, value, wanted leaves) of the columns of records that follow each other."""
 
-    def rows_of(cols: dict, chain: list[Group], k) -> list[tuple]:
-        last = chain[-1]
-        depth = len(chain) + sum(g.keyed for g in chain)
+    def rows_of(cols: dict, last: Group, depth: int, k) -> list[tuple]:
         reps, defs, vals = cols[MARK]
         idx = positions(np.asarray(reps), depth).astype(str).tolist()
         up = depth - 1 - last.keyed
@@ -285,12 +392,12 @@ def _assembler(groups: dict[str, Group], want: list[str], kind: str | None = Non
         return out
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        chains: dict[str, list[Group]] = {}
+        known: dict[str, tuple[Group, int]] = {}
         held: dict[str, dict] = {}  # columns of the record that the last batch may have cut in two
         now = None
 
         def flush(k) -> list[tuple]:
-            out = [r for path, cols in held.items() for r in rows_of(cols, chains[path], k)]
+            out = [r for path, cols in held.items() for r in rows_of(cols, *known[path], k)]
             held.clear()
             return out
 
@@ -301,9 +408,9 @@ def _assembler(groups: dict[str, Group], want: list[str], kind: str | None = Non
                 if k != now:
                     out += flush(now)
                     now = k
-                if path not in chains:
-                    chains[path] = _group_at(groups, path)
-                if kind is None or chains[path][-1].kind == kind:
+                if path not in known:
+                    known[path] = _group_at(groups, path)
+                if kind is None or known[path][0].kind == kind:
                     held.setdefault(path, {})[leaf] = (reps, defs, vals)
             yield pd.DataFrame(out, columns=names)
         yield pd.DataFrame(flush(now), columns=names)

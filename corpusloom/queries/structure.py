@@ -18,6 +18,12 @@ def p3_paths(spark, d):
     return done.select(F.col("grp").alias("book_id"), F.col("key").alias("entry_id"), "status", "root_key", "depth", "descendants", F.array_join("path", "/").alias("path"))
 
 
+def p3_descendants(spark, d):
+    """Every entry with every entry below it, and how many steps are between."""
+    done = hierarchy.resolve(hierarchy.latest_links(table(spark, d, "toc_entries")), paths=True)
+    return hierarchy.descendants(done).withColumnRenamed("grp", "book_id")
+
+
 def p5_found(spark, d):
     return shred.found(table(spark, d, "raw_records"))
 
@@ -31,13 +37,21 @@ def _p5_table(kind, leaves):
     return run
 
 
+_TABLES = {
+    "entries": ("entry", {"entry_id": "string", "title": "string", "level": "int", "page_number": "string", "section_number": "string"}),
+    "pathways": ("pathway", {"pathway_id": "string", "name": "string", "learning_style": "string", "target_audience": "string", "estimated_duration_weeks": "double"}),
+    "topics": ("topic", {}),
+    "checkpoints": ("checkpoint", {"title": "string", "position": "int"}),
+    "branches": ("branch", {}),
+    "assessments": ("assessment", {"type": "string", "weight": "double"}),
+}
+
 QUERIES = {
     "p3_found": p3_found,
     "p3_paths": p3_paths,
     "p5_found": p5_found,
-    "p5_entries": _p5_table("entry", {"entry_id": "string", "title": "string", "level": "int", "page_number": "string", "section_number": "string"}),
-    "p5_pathways": _p5_table("pathway", {"pathway_id": "string", "name": "string", "learning_style": "string", "target_audience": "string"}),
-    "p5_assessments": _p5_table("assessment", {"type": "string", "weight": "double"}),
+    "p3_descendants": p3_descendants,
+    **{f"p5_{name}": _p5_table(kind, leaves) for name, (kind, leaves) in _TABLES.items()},
 }
 
 _LATEST = r"""
@@ -116,3 +130,12 @@ SELECT raw_id, kind, pos, parent_pos FROM tree WHERE json_type(x) <> 'NULL'
 """
 
 SQL["p5_found"] = _ELEMENTS.replace("@V@", _els("v")).replace("@C@", _els("c.v"))
+
+SQL["p3_descendants"] = "WITH RECURSIVE" + _LATEST + """
+SELECT book_id, ancestor, entry_id AS descendant, depth - i AS distance FROM (
+  SELECT book_id, entry_id, depth, unnest(string_split(path, '/')) AS ancestor, unnest(range(1, depth + 1)) AS i FROM reach)
+WHERE i < depth"""
+
+for _name, (_kind, _leaves) in _TABLES.items():
+    _fields = "".join(f", try_cast(CASE WHEN json_type(x) = 'OBJECT' THEN x->>'$.{leaf}' END AS {kind.replace('string', 'VARCHAR')}) AS {leaf}" for leaf, kind in _leaves.items())
+    SQL[f"p5_{_name}"] = SQL["p5_found"].replace("SELECT raw_id, kind, pos, parent_pos FROM tree", f"SELECT raw_id, pos, parent_pos, CASE WHEN json_type(x) <> 'OBJECT' THEN x->>'$' END AS value{_fields} FROM tree") + f" AND kind = '{_kind}'"

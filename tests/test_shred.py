@@ -2,6 +2,8 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 from corpusloom.operators import shred as S
 
 
@@ -64,3 +66,23 @@ def test_odd_values(spark):
     huge = '{"entries": [{"level": ' + "9" * 5000 + '}]}'
     assert found(spark, huge) == [(0, "entry", "0", "")]
     assert found(spark, "[" * 200_000, '{"entries": ' + "[" * 200_000) == []
+
+
+def test_nesting_beyond_the_recursion_of_the_parser(spark):
+    n = 6_000
+    text = '{"entries": ' + '[{"title": "t", "children": ' * n + "[]" + "}]" * n + "}"
+    df = S.found(frame(spark, [text, text[:-1], '{"x": ' + "[" * 100_000 + "]" * 100_000 + ', "entries": [{"a": 1}]}']))
+    got = df.groupBy("raw_id").agg(F.count("*"), F.max(F.length("pos")), F.max(F.length("parent_pos"))).collect()
+    assert {tuple(r) for r in got} == {(0, n, 2 * n - 1, 2 * n - 3), (2, 1, 1, 0)}
+
+
+def test_deep_parser_agrees_with_the_plain_one():
+    cases = ['{"a": [1, -2.5e3, "x\\u00e9", null, true, {"b": []}], "": {}}', "[]", " 5 ", '"s"', '{"a":1,}', "[1 2]", "[1,]", "{1:2}", '{"a" 1}', "tru", "01", "", "[", '{"a": NaN}', "[1]]", '"\n"']
+    for c in cases:
+        try:
+            deep = S._parse_deep(c)
+        except ValueError:
+            deep = None
+        assert deep == S.parse(c), c
+    value = {"a": [1, 2.5, "é\n", None, True, {"b": [], "c": {}}], "": {}}
+    assert S._dump_deep(value) == json.dumps(value, ensure_ascii=False)
