@@ -34,5 +34,13 @@ def p4_document_passages(spark, d):
     return _passages(spark, d, "documents", "doc_id", "text")
 
 
-QUERIES = {"p4_found": p4_found, "p4_documents": p4_documents, "p4_passages": p4_passages, "p4_document_passages": p4_document_passages}
+def p4_books(spark, d):
+    """Language and confidence of every book, from the text of its chapters."""
+    chapters = table(spark, d, "chapters")
+    rows = chapters.select(F.struct("chapter_id", "book_id").alias("k"), "content")
+    seen = language.analyse(rows, "k", "content", language.fit(table(spark, d, "documents"))).select("key.book_id", "scores")
+    return language.book_languages(seen).withColumn("confidence", F.round("confidence", 6))
+
+
+QUERIES = {"p4_books": p4_books, "p4_found": p4_found, "p4_documents": p4_documents, "p4_passages": p4_passages, "p4_document_passages": p4_document_passages}
 SQL: dict[str, str] = {}

@@ -1,9 +1,10 @@
 """Oversized texts in pieces under a limit, by packing a structure tree.
 
-A text is parsed into a tree of contiguous spans: sections (a heading and what follows it, by depth of heading), blocks
-(separated by blank lines), lines, words and characters. Subtrees of the same parent are merged from the bottom up as
-long as they stay within the limit, and only a node that is too large itself is descended into, so every cut is at the
-coarsest boundary that serves. Each piece but the first is led by the last `overlap` characters before it; overlap and
+A text is parsed into a tree of contiguous spans: sections (a heading and what follows it, by depth of heading: Markdown,
+numbers, LaTeX, HTML), blocks (separated by blank lines), list items with what is indented below them, lines, words and
+characters. Subtrees of the same parent are merged from the bottom up as long as they stay within the limit, and only a
+node that is too large itself is descended into, so every cut is at the coarsest boundary that serves. How far the descent
+into the tree must go at the full limit is the text's coarsest cut. A line of more than HEADING characters is no heading. Each piece but the first is led by the last `overlap` characters before it; overlap and
 core together never exceed the limit. Cores follow each other without gap: dropping the overlaps gives the text back.
 
 Blanks, tabs, line breaks (LF or CRLF) and form feeds are white space here; no-break blanks are text. Null and empty
@@ -23,25 +24,17 @@ BLANK_LINES = re.compile(r"\r?\n(?:[ \t\f]*\r?\n)+")
 LINE = re.compile(r"\r?\n")
 WORD = re.compile(r"(?:[ \t\f]|\r?\n)+")
 SPACE = " \t\r\n\f"
-_HEADING = re.compile(r"[ \t\f]*(?:(#{1,6})[ \t]+\S|(\d+(?:\.\d+)*)\.?[ \t]+\S)")
-_ITEM = re.compile(r"[ \t\f]*(?:[-*+•‣]|\d+[.)]|[a-z][.)])[ \t]")
+HEADING = 120
+_HASHES = re.compile(r"(#{1,6})[ \t]+\S")
+_NUMBERED = re.compile(r"(\d{1,3}(?:\.\d+)*)\.?[ \t]+(\S.*)")
+_LATEX = re.compile(r"\\(part|chapter|section|subsection|subsubsection|paragraph|subparagraph)\*?\s*[{\[]")
+_LATEX_DEPTH = {"part": 1, "chapter": 1, "section": 2, "subsection": 3, "subsubsection": 4, "paragraph": 5, "subparagraph": 6}
+_HTML = re.compile(r"<h([1-6])[\s>]", re.IGNORECASE)
+_ITEM = re.compile(r"([ \t\f]*)(?:[-*+•‣]|\d{1,3}[.)]|[a-z][.)]|\\item\b|<li[\s>])(?=[ \t]|[^\s\d]|$)")
 
 KINDS = ("paragraph", "line", "word")
 
 
-def longest(text: str, cut: re.Pattern) -> int:
-    """Length of the longest stretch between cuts, white space at its ends not counted."""
-    return max((len(s.strip(SPACE)) for s in cut.split(text)), default=0)
-
-
-def coarsest_cut(text: str, limit: int) -> str:
-    """The coarsest kind of boundary that leaves no stretch above the limit, or none."""
-    for kind, cut in zip(KINDS, (BLANK_LINES, LINE, WORD)):
-        if longest(text, cut) <= limit:
-            return kind
-    return "none"
-
-
 def _parts(text: str, s: int, e: int, cut: re.Pattern) -> list[tuple[int, int]]:
     """Spans of s..e that end after each cut."""
     ends = [m.end() for m in cut.finditer(text, s, e)]
@@ -51,14 +44,25 @@ def _parts(text: str, s: int, e: int, cut: re.Pattern) -> list[tuple[int, int]]:
 
 
 def heading_depth(line: str) -> int | None:
-    """Depth of a heading: the number of # or of numbers (1.2.3); None for other lines. List items are no headings."""
+    """Depth of a heading: the number of # or of numbers (1.2.3), the kind of LaTeX or HTML heading; None for other lines.
+
+    What follows a number must look like a title: it starts with a capital or a letter without case and ends without a
+    mark. Otherwise the line is an item or a sentence.
+    """
     line = line.strip(SPACE)
-    if len(line) > 120 or LINE.search(line):
+    if len(line) > HEADING or LINE.search(line):
         return None
-    m = _HEADING.match(line)
-    if not m or (_ITEM.match(line) and not m[1] and "." not in (m[2] or "")):
+    if m := _HASHES.match(line):
+        return len(m[1])
+    if m := _LATEX.match(line):
+        return _LATEX_DEPTH[m[1]]
+    if m := _HTML.match(line):
+        return int(m[1])
+    m = _NUMBERED.match(line)
+    if not m or (line[m.end(1)] == "." and "." not in m[1]):
         return None
-    return len(m[1]) if m[1] else m[2].count(".") + 1
+    first = m[2][0]
+    return m[1].count(".") + 1 if first.isalpha() and not first.islower() and line[-1] not in ".!?;:,。！？।" else None
 
 
 def sections(text: str, blocks: list[tuple[int, int]]) -> list[tuple[int | None, int, int]]:
@@ -69,7 +73,7 @@ def sections(text: str, blocks: list[tuple[int, int]]) -> list[tuple[int | None,
 def _tree(items: list[tuple[int | None, int, int]]) -> list:
     """Nodes ([start, end], children) nested by heading depth; blocks have no children."""
     root: list = []
-    stack: list[tuple[int, list]] = [(0, root)]
+    stack: list[tuple[int, list]] = [(-1, root)]
     for depth, a, b in items:
         if depth is None:
             stack[-1][1].append(([a, b], []))
@@ -84,9 +88,58 @@ def _tree(items: list[tuple[int | None, int, int]]) -> list:
     return root
 
 
-def pack(text: str, limit: int) -> list[tuple[int, int]]:
+def parse(text: str) -> list:
+    """The tree of sections and blocks."""
+    return _tree(sections(text, _parts(text, 0, len(text), BLANK_LINES)))
+
+
+def _items(text: str, s: int, e: int) -> list:
+    """The tree of a block's list items by indentation; lines that start no item belong to the item before."""
+    found: list[tuple[int | None, int, int]] = []
+    for a, b in _parts(text, s, e, LINE):
+        m = _ITEM.match(text, a, b)
+        if m:
+            found.append((len(m[1].expandtabs()), a, b))
+        elif found:
+            found[-1] = (found[-1][0], found[-1][1], b)
+        else:
+            found.append((None, a, b))
+    return _tree(found) if any(d is not None for d, _, _ in found) else []
+
+
+def _body(text: str, s: int, e: int) -> tuple[int, int]:
+    """s..e without the white space at its ends."""
+    part = text[s:e]
+    return e - len(part.lstrip(SPACE)), s + len(part.rstrip(SPACE))
+
+
+def coarsest_cut(text: str, limit: int, tree: list | None = None) -> str:
+    """The coarsest kind of boundary that leaves no stretch above the limit, or none: the level to which the tree must be descended."""
+    deepest = 0
+
+    def down(s: int, e: int, level: int) -> None:
+        nonlocal deepest
+        a, b = _body(text, s, e)
+        if b - a > limit:
+            deepest = max(deepest, level + 1)
+            if level < 2:
+                for x, y in _parts(text, s, e, (LINE, WORD)[level]):
+                    if y - x > limit:
+                        down(x, y, level + 1)
+
+    todo = list(parse(text) if tree is None else tree)
+    while todo:
+        (s, e), children = todo.pop()
+        if e - s > limit:
+            if children:
+                todo += children
+            else:
+                down(s, e, 0)
+    return (*KINDS, "none")[deepest]
+
+
+def pack(text: str, limit: int, tree: list | None = None) -> list[tuple[int, int]]:
     """Spans of at most `limit` characters that cover the text."""
-    out: list[tuple[int, int]] = []
 
     def add(spans: list[tuple[int, int]], into: list[tuple[int, int]]) -> None:
         for a, b in spans:
@@ -99,33 +152,40 @@ def pack(text: str, limit: int) -> list[tuple[int, int]]:
         """A block, line or word that is too large."""
         if level == 2:
             return [(x, min(x + limit, e)) for x in range(s, e, limit)]
+        if level == 0 and (items := _items(text, s, e)):
+            return descend(items, 1)
         merged: list[tuple[int, int]] = []
         for a, b in _parts(text, s, e, (LINE, WORD)[level]):
             add([(a, b)] if b - a <= limit else finer(a, b, level + 1), merged)
         return merged
 
-    def descend(nodes: list) -> list[tuple[int, int]]:
+    def lines(s: int, e: int) -> list[tuple[int, int]]:
+        """An item that is too large."""
+        merged: list[tuple[int, int]] = []
+        for a, b in _parts(text, s, e, LINE):
+            add([(a, b)] if b - a <= limit else finer(a, b, 1), merged)
+        return merged
+
+    def descend(nodes: list, level: int) -> list[tuple[int, int]]:
         merged: list[tuple[int, int]] = []
         for (s, e), children in nodes:
             if e - s <= limit:
                 add([(s, e)], merged)
             else:
-                add(descend(children) if children else finer(s, e, 0), merged)
+                add(descend(children, level) if children else lines(s, e) if level else finer(s, e, 0), merged)
         return merged
 
-    blocks = _parts(text, 0, len(text), BLANK_LINES)
-    add(descend(_tree(sections(text, blocks))), out)
-    return out
+    return descend(parse(text) if tree is None else tree, 0)
 
 
-def pieces(text: str, limit: int | None, overlap: int | None) -> list[tuple[int, int, int]]:
+def pieces(text: str, limit: int | None, overlap: int | None, tree: list | None = None) -> list[tuple[int, int, int]]:
     """(start with overlap, start of the core, end) of every piece."""
     if not text:
         return []
     if limit is None or limit < 1 or len(text) <= limit:
         return [(0, 0, len(text))]
     overlap = min(max(overlap or 0, 0), limit - 1)
-    return [(max(0, a - overlap), a, b) for a, b in pack(text, limit - overlap)]
+    return [(max(0, a - overlap), a, b) for a, b in pack(text, limit - overlap, tree)]
 
 
 OUT = "piece int, start_pos int, core_pos int, end_pos int, text string, coarsest_cut string"
@@ -146,8 +206,9 @@ def split(df: DataFrame, key: str, text: str, limit: str, overlap: str, with_tex
         for pdf in batches:
             rows = []
             for k, t, lim, ov in zip(pdf["key"], pdf["text"], pdf["lim"], pdf["over"]):
-                cut = coarsest_cut(t, int(lim))
-                for i, (s, c, e) in enumerate(pieces(t, int(lim), None if pd.isna(ov) else int(ov))):
+                tree = parse(t)
+                cut = coarsest_cut(t, int(lim), tree)
+                for i, (s, c, e) in enumerate(pieces(t, int(lim), None if pd.isna(ov) else int(ov), tree)):
                     rows.append((k, i, s, c, e, t[s:e] if with_text else None, cut))
             yield pd.DataFrame(rows, columns=["key", "piece", "start_pos", "core_pos", "end_pos", "text", "coarsest_cut"])
 

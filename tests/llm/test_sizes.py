@@ -135,3 +135,25 @@ def test_mix_of_nothing(spark):
     targets = spark.createDataFrame([("m", "a", 1.0, 1, 1.0)], "mix_id string, source string, target_share double, max_repeats int, size_factor double")
     mixes, report = mixing.mix(spark.createDataFrame([], DOCS), targets)
     assert mixes.count() == 0 and report.count() == 1
+
+
+def test_headings_of_several_kinds():
+    depth = split.heading_depth
+    assert [depth(x) for x in ("# A", "### b", "2.3 Waves", "4 Waves", "\\section{Waves}", "\\subsection*{x}", "<h2>Waves</h2>")] == [1, 3, 2, 1, 2, 3, 2]
+    assert [depth(x) for x in ("3 apples were weighed today", "1999 was a year", "1. Stir the pot", "- item", "2.5 litres of water.", "plain", "x" * 200)] == [None] * 7
+
+
+def test_lists_are_cut_between_items():
+    text = "Intro:\n" + "\n".join(f"- item {i} " + "w " * 8 + f"\n  - below {i} " + "v " * 8 for i in range(6))
+    found = split.pieces(text, 70, 0)
+    assert "".join(text[a:b] for _, a, b in found) == text and all(b - a <= 70 for _, a, b in found)
+    assert all(text[a:b].lstrip().startswith(("Intro", "- item", "- below")) for _, a, b in found)
+
+
+def test_coarsest_cut_is_that_of_the_stretches():
+    rng = random.Random(5)
+    for _ in range(300):
+        t = "".join(rng.choice(["ab ", "cdefgh", "\n", "\r\n", "\n \n", "  ", "x. ", "# H\n", "1.1 Ti\n", "- i ", "\f"]) for _ in range(rng.randrange(1, 60)))
+        limit = rng.randrange(3, 40)
+        want = next((k for k, c in zip(split.KINDS, (split.BLANK_LINES, split.LINE, split.WORD)) if max(len(x.strip(split.SPACE)) for x in c.split(t)) <= limit), "none")
+        assert split.coarsest_cut(t, limit) == want, (t, limit)
