@@ -89,6 +89,17 @@ def _rows(gram: str) -> tuple[int, ...]:
     return tuple((h >> (20 * i)) & ((1 << BITS) - 1) for i in range(HASHES))
 
 
+class _Index(dict):
+    """Numbers of tokens; a new one gets its number from `add`."""
+
+    def __init__(self, add):
+        super().__init__()
+        self.add = add
+
+    def __missing__(self, word: str) -> int:
+        return self.add(word)
+
+
 class Filters:
     """The bit-sliced filters with the tokens seen so far: their weights and weighted, corrected shares per language."""
 
@@ -99,7 +110,7 @@ class Filters:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index = _Index(self._add)
         self.weights = np.zeros(1 << 14)
         self.shares = np.zeros((1 << 14, len(LANGUAGES)))
 
@@ -129,8 +140,7 @@ class Filters:
         return i
 
     def ids(self, text: str) -> list[int]:
-        get = self.index.get
-        return [i if (i := get(w)) is not None else self._add(w) for w in tokens(text)]
+        return list(map(self.index.__getitem__, tokens(text)))
 
     def score(self, text: str) -> tuple[float, np.ndarray]:
         i = self.ids(text)
@@ -189,16 +199,14 @@ def unquoted(sentence: str) -> str:
     return rest if sum(map(len, _WORD.findall(rest))) >= 8 else sentence
 
 
-def tag(filters: Filters, parts: list[str]) -> list[int]:
-    """The language (an index) of each of the sentences that follow each other."""
-    scores = []
-    for p in parts:
-        _, s = filters.score(unquoted(p))
-        scores.append(s - s.max())
-    if not scores:
-        return []
-    best, back = scores[0].copy(), []
-    for e in scores[1:]:
+def path(scores: np.ndarray) -> list[int]:
+    """The best languages (indexes) of sentences that follow each other, from their scores, by Viterbi."""
+    loss = scores - scores.max(axis=1, keepdims=True)
+    clear = np.flatnonzero(~loss.any(axis=0))
+    if len(clear):  # one language leads everywhere; no path is better
+        return [int(clear[0])] * len(loss)
+    best, back = loss[0].copy(), []
+    for e in loss[1:]:
         top = int(best.argmax())
         stay = best >= best[top] - CHANGE
         back.append(np.where(stay, np.arange(len(best)), top))
@@ -211,18 +219,62 @@ def tag(filters: Filters, parts: list[str]) -> list[int]:
     return out[::-1]
 
 
-def passages(filters: Filters, text: str) -> list[tuple[int, int, int, int]]:
-    """(start, end, language, number of sentences) of the stretches of one language."""
-    ends = sent.ends(text)
-    starts = [0, *ends[:-1]]
-    out: list[list[int]] = []
-    for a, b, lang in zip(starts, ends, tag(filters, [text[a:b] for a, b in zip(starts, ends)])):
-        if out and out[-1][2] == lang:
-            out[-1][1] = b
-            out[-1][3] += 1
-        else:
-            out.append([a, b, lang, 1])
-    return [tuple(x) for x in out]
+_QUOTES = re.compile(r"[“”„«»「」『』《》‚‘’‹›\"']")
+
+
+def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sums of the consecutive stretches of values that end at `ends`; empty ones are 0."""
+    begins = np.r_[0, ends[:-1]]
+    out = np.zeros((len(ends), *values.shape[1:]))
+    full = np.flatnonzero(ends > begins)
+    if len(full):
+        out[full] = np.add.reduceat(values, begins[full], axis=0)
+    return out
+
+
+def passages(filters: Filters, texts: list[str]) -> list[tuple[list[float], list[dict]]]:
+    """Scores and runs of every text; each is cut into sentences once, and every token is looked up once."""
+    flat: list[int] = []
+    ends: list[int] = []  # of sentences, in tokens
+    cuts: list[list[int]] = []  # of texts, in characters
+    told: list[tuple[int, list[int]]] = []  # sentences with quotations: the tokens outside of them
+    for t in texts:
+        stops = sent.ends(t)
+        cuts.append(stops)
+        a = 0
+        for b in stops:
+            p = t[a:b]
+            if _QUOTES.search(p) and (rest := unquoted(p)) is not p:
+                told.append((len(ends), filters.ids(rest)))
+            flat += filters.ids(p)
+            ends.append(len(flat))
+            a = b
+    at = np.array(flat, dtype=np.int64)
+    stop = np.array(ends, dtype=np.int64)
+    shares, weights = _sums(filters.shares[at], stop), _sums(filters.weights[at], stop)
+    speak = shares.copy()
+    for i, ids in told:
+        speak[i] = filters.shares[ids].sum(axis=0)
+    out: list[tuple[list[float], list[dict]]] = []
+    first = 0
+    for stops in cuts:
+        last = first + len(stops)
+        langs = path(speak[first:last]) if stops and ends[last - 1] > (ends[first - 1] if first else 0) else []
+        runs: list[dict] = []
+        total = np.zeros(len(LANGUAGES))
+        k = 0
+        while k < len(langs):
+            n = k
+            while n < len(langs) and langs[n] == langs[k]:
+                n += 1
+            own, lang = shares[first + k : first + n].sum(axis=0), langs[k]
+            total += own if n - k == len(langs) else weights[first + k : first + n].sum() * (np.arange(len(LANGUAGES)) == lang)
+            lead = (own[lang] - np.delete(own, lang).max()) / own[lang] if own[lang] > 0 else 0.0
+            runs.append({"start_pos": stops[k - 1] if k else 0, "end_pos": stops[n - 1], "language": LANGUAGES[lang], "sentences": n - k, "confidence": max(0.0, float(lead))})
+            k = n
+        out.append((total.tolist(), runs))
+        first = last
+    return out
 
 
 def analyse(df: DataFrame, key: str, text: str, table: np.ndarray) -> DataFrame:
@@ -235,29 +287,14 @@ def analyse(df: DataFrame, key: str, text: str, table: np.ndarray) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(table)
     kind = df.schema[key].dataType.simpleString()
 
-    def cut(filters: Filters, t: str) -> tuple[list[float], list[dict]]:
-        runs, s = [], np.zeros(len(LANGUAGES))
-        found = passages(filters, t)
-        for a, b, lang, k in found:
-            weight, own = filters.score(t[a:b])
-            s += own if len(found) == 1 else weight * (np.arange(len(LANGUAGES)) == lang)
-            lead = (own[lang] - np.delete(own, lang).max()) / own[lang] if own[lang] > 0 else 0.0
-            runs.append({"start_pos": a, "end_pos": b, "language": LANGUAGES[lang], "sentences": k, "confidence": max(0.0, float(lead))})
-        return s.tolist(), runs
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = Filters(shared.value)
         shape = pa.list_(pa.struct([("start_pos", pa.int32()), ("end_pos", pa.int32()), ("language", pa.string()), ("sentences", pa.int32()), ("confidence", pa.float64())]))
         for whole in batches:
             for first in range(0, whole.num_rows, 256):
                 batch = whole.slice(first, 256)
-                texts = batch.column(1).to_pylist()
-                ids = [filters.ids(t) for t in texts]
-                size = np.array([len(i) for i in ids])
-                scores: list = [[0.0] * len(LANGUAGES)] * len(texts)
-                runs: list = [[]] * len(texts)
-                for k in np.flatnonzero(size):
-                    scores[k], runs[k] = cut(filters, texts[k])
+                found = passages(filters, batch.column(1).to_pylist())
+                scores, runs = [f[0] for f in found], [f[1] for f in found]
                 if len(filters.index) > 1_000_000:
                     filters.clear()
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.list_(pa.float64())), pa.array(runs, shape)], ["key", "scores", "runs"])
