@@ -53,7 +53,7 @@ _MODEL = Path(__file__).with_name("sentence_model.json")
 def model() -> dict:
     found = json.loads(_MODEL.read_text(encoding="utf-8"))
     never = TITLES.union(found["never"])
-    return {"never": never, "weights": found["weights"], "folded": frozenset(w.lower() for w in never)}
+    return {"never": never, "weights": found["weights"], "folded": frozenset(w.lower() for w in never), "known": {}}
 
 
 def spans(text: str) -> list[tuple[int, int]]:
@@ -205,20 +205,26 @@ def candidates(text: str, never: frozenset[str], one_case: bool = False) -> list
 ORDINAL_LEAD = frozenset("am im dem der den zum vom beim zur des w".split())
 
 
-def viterbi(cands: list[tuple[int, tuple[str, ...], bool]], weights: dict[str, float]) -> list[bool]:
-    """The best tags: True where a sentence ends. The tag before the first candidate is `ends`: a unit begins."""
+def viterbi(cands: list[tuple[int, tuple[str, ...], bool]], weights: dict[str, float], known: dict | None = None) -> list[bool]:
+    """The best tags: True where a sentence ends. The tag before the first candidate is `ends`: a unit begins.
+
+    known keeps the sums of weights of the features that have occurred (few differ), for weights that do not change.
+    """
+    known = {} if known is None else known
     best = (float("-inf"), 0.0)  # scores of inside, ends
     back: list[tuple[bool, bool]] = []
     get = weights.get
     for _, feats, adjacent in cands:
-        base = sum([get(f, 0.0) for f in feats])
-        close = next(f for f in (*feats, "cn:-") if f.startswith("cn:"))
-        stands = get(f"alone{close}", 0.0) if adjacent else 0.0
-        mid = get(f"within{close}", 0.0)
-        from_in = best[0], best[0] + base + mid + get("t:ie", 0.0)
-        from_end = best[1], best[1] + base + (stands if adjacent else mid) + get("t:ee", 0.0)
-        back.append((from_end[0] > from_in[0], from_end[1] > from_in[1]))
-        best = max(from_in[0], from_end[0]), max(from_in[1], from_end[1])
+        sums = known.get(feats)
+        if sums is None:
+            base = sum([get(f, 0.0) for f in feats])
+            close = next(f for f in (*feats, "cn:-") if f.startswith("cn:"))
+            mid = base + get(f"within{close}", 0.0)
+            sums = known[feats] = mid + get("t:ie", 0.0), mid + get("t:ee", 0.0), base + get(f"alone{close}", 0.0) + get("t:ee", 0.0)
+        inside, ended = best
+        to_in, to_end = inside + sums[0], ended + sums[2 if adjacent else 1]
+        back.append((ended > inside, to_end > to_in))
+        best = (ended if ended > inside else inside), (to_end if to_end > to_in else to_in)
     tags: list[bool] = []
     at = best[1] > best[0]
     for b in reversed(back):
@@ -242,7 +248,7 @@ def ends(text: str) -> list[int]:
             left = begin + len(unit) - len(unit.lstrip())
             cands = candidates(body, never, one_case)
             if cands:
-                out += [left + c[0] for c, tag in zip(cands, viterbi(cands, m["weights"])) if tag]
+                out += [left + c[0] for c, tag in zip(cands, viterbi(cands, m["weights"], m["known"])) if tag]
             out.append(left + len(body))
         begin = cut.end() if cut else stop
     return out
