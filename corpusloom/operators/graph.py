@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from corpusloom.durable import Scratch
+from corpusloom.durable import Scratch, with_dense_ids
+from corpusloom.operators.components import components
 
 
 def last_wins(edges: DataFrame, order: list[Column]) -> DataFrame:
@@ -131,3 +132,61 @@ def six_levels(path: Column) -> Column:
 def level_stats(paths: DataFrame, top: str = "top") -> DataFrame:
     """Nodes per top node and depth."""
     return paths.groupBy(top, F.size("path").alias("depth")).agg(F.count("*").alias("nodes"))
+
+
+def hierarchy_edges(entries: DataFrame) -> DataFrame:
+    """Edges of a table of contents: from every parent to its children (.9), and from the first of siblings to the others (.7).
+
+    entries: book_id, entry_id, parent_id (null at the top), row_id. Parents that are no entry of the book give no edge. The
+    first sibling comes from an aggregate, so a parent with very many children is no group of one task.
+    """
+    parents = entries.select("book_id", F.col("entry_id").alias("parent_id")).distinct()
+    below = entries.where("parent_id is not null").join(parents, ["book_id", "parent_id"], "left_semi")
+    first = below.groupBy("book_id", "parent_id").agg(F.min_by("entry_id", F.struct("row_id", "entry_id")).alias("source"))
+    siblings = below.join(first, ["book_id", "parent_id"]).where("source <> entry_id").select("book_id", "source", F.col("entry_id").alias("target"), F.lit("sibling").alias("kind"), F.lit(0.7).alias("confidence"))
+    return below.select("book_id", F.col("parent_id").alias("source"), F.col("entry_id").alias("target"), F.lit("parent").alias("kind"), F.lit(0.9).alias("confidence")).unionByName(siblings)
+
+
+def forest_properties(resolved: DataFrame) -> DataFrame:
+    """Per group of a result of hierarchy.resolve: nodes, edges, weak components, nodes on cycles, whether acyclic, generations.
+
+    Every node has one parent at most, so a weak component holds one root, one orphan or one cycle.
+    """
+    cyc = cycles(resolved).groupBy("grp").agg(F.countDistinct("cycle").alias("n_cycles"))
+    top = F.col("status").isin("root", "orphan") & (F.col("depth") == 1)
+    per = resolved.groupBy("grp").agg(F.count("*").alias("nodes"), F.count(F.when(~top, 1)).alias("edges"), F.count(F.when(top, 1)).alias("tops"), F.count(F.when(F.col("status") == "on_cycle", 1)).alias("on_cycles"), F.max("depth").alias("generations"))
+    return per.join(cyc, "grp", "left").select("grp", "nodes", "edges", (F.col("tops") + F.coalesce("n_cycles", F.lit(0))).alias("components"), "on_cycles", (F.col("on_cycles") == 0).alias("acyclic"), "generations")
+
+
+def cycles(resolved: DataFrame) -> DataFrame:
+    """(grp, key, parent, cycle) of the nodes on cycles; cycle is the least key of theirs. Components are found in logarithmic rounds.
+
+    resolved: a result of hierarchy.resolve that keeps the column parent.
+    """
+    spark = resolved.sparkSession
+    scratch = Scratch(spark, "cycles")
+    on = with_dense_ids(scratch, resolved.where("status = 'on_cycle'").select("grp", "key", "parent"))
+    edges = on.select("grp", F.col("parent").alias("key"), F.col("id").alias("b")).join(on.select("grp", "key", F.col("id").alias("a")), ["grp", "key"]).select("a", "b")
+    label = components(edges, scratch)
+    member = on.join(label, F.col("id") == F.col("node"), "left").select("grp", "key", "parent", F.coalesce("root", "id").alias("root"))
+    least = member.groupBy("root").agg(F.min("key").alias("cycle"))
+    return member.join(least, "root").select("grp", "key", "parent", "cycle")
+
+
+def cycle_breaks(resolved: DataFrame) -> DataFrame:
+    """One link (grp, key, parent) of every cycle, that of its least key: without them the links are acyclic."""
+    return cycles(resolved).where("key = cycle").select("grp", "key", "parent")
+
+
+def domain_chain(topics: DataFrame, order: list[str]) -> DataFrame:
+    """Edges from the first topic (lowest pos, then id) of every domain to that of the next domain in `order` that has topics."""
+    rank = F.array_position(F.array(*[F.lit(x) for x in order]), F.col("domain"))
+    first = topics.where(F.col("domain").isin(order)).groupBy("domain").agg(F.min_by("id", F.struct("pos", "id")).alias("id")).withColumn("rank", rank)
+    nxt = F.lead("id").over(W.orderBy("rank"))  # one row per domain of a fixed list
+    return first.select(F.col("id").alias("src"), nxt.alias("dst"), F.col("domain")).where("dst is not null")
+
+
+def with_synonyms(paths: DataFrame, path: str, synonyms: dict[str, str]) -> DataFrame:
+    """Distinct paths after every step is replaced by its synonym: hierarchies merged under the map."""
+    table = F.create_map(*[F.lit(x) for kv in synonyms.items() for x in kv])
+    return paths.select(F.transform(path, lambda s: F.coalesce(table[s], s)).alias(path)).distinct()

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from corpusloom.durable import Scratch
+
 LEVEL_RANK = {"high_school": 0, "undergraduate": 1, "graduate": 2}
 
 
@@ -26,16 +28,41 @@ def level_rank(c: Column) -> Column:
 
 
 def global_rank(df: DataFrame, buckets: list[Column], order: list[Column], name: str = "pos") -> DataFrame:
-    """df with its position, from 0, in the order of (buckets, order). There should be few buckets, none with most rows."""
-    keys = [f"_b{i}" for i in range(len(buckets))]
-    parts = df.select("*", *[b.alias(k) for b, k in zip(buckets, keys)])
-    sizes = parts.groupBy(*keys).agg(F.count("*").alias("_n"))
-    before = sizes.select(*[F.col(k).alias(f"{k}x") for k in keys], (F.sum("_n").over(W.orderBy(*keys)) - F.col("_n")).alias("_before"))
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"{k}x"))
-    ranked = parts.withColumn("_r", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
-    return ranked.join(before, same).withColumn(name, F.col("_before") + F.col("_r") - 1).drop("_r", "_before", *keys, *[f"{k}x" for k in keys])
+    """df with its position, from 0, in the order of (buckets, order), which must leave no ties.
+
+    Rows are range-partitioned and sorted; a position is the place in the partition and the rows of the partitions before.
+    Only the counts of partitions pass through one task. The sorted rows are written once, so that places do not change.
+    """
+    keys = [f"_k{i}" for i in range(len(buckets))]
+    by = [F.col(k).asc_nulls_first() for k in keys] + order
+    wide = df.select("*", *[b.alias(k) for b, k in zip(buckets, keys)])
+    placed = wide.repartitionByRange(*by).sortWithinPartitions(*by).drop(*keys).withColumn("_m", F.monotonically_increasing_id())
+    rows = Scratch(df.sparkSession, "rank").cut(placed)
+    part = F.shiftright("_m", 33)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))  # as many rows as there are partitions
+    before = sizes.select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).alias("_before"))
+    ranked = rows.withColumn("_part", part).join(F.broadcast(before), "_part")
+    return ranked.withColumn(name, F.col("_before") + F.col("_m").bitwiseAND((1 << 33) - 1)).drop("_m", "_part", "_before")
+
+
+#: Domains in the order in which they are taught.
+DOMAIN_ORDER = [
+    "units_measurement", "vectors", "kinematics", "dynamics", "energy", "momentum", "rotation", "gravitation", "oscillations", "waves", "thermodynamics", "electricity", "magnetism", "circuits", "optics", "modern_physics", "astrophysics",
+]
+
+
+def by_importance(topics: DataFrame) -> DataFrame:
+    """One topic per name with its position, from 1: core topics first, then by domain as taught, level and name.
+
+    Of several topics of a name the first in that order stays (then the least id). Nulls: core, general, undergraduate;
+    topics without a name are left out.
+    """
+    core = F.when(F.coalesce("is_core", F.lit(True)), 0).otherwise(1)
+    domain = F.coalesce(F.nullif(F.array_position(F.array(*[F.lit(x) for x in DOMAIN_ORDER]), F.coalesce("domain", F.lit("general"))), F.lit(0)), F.lit(99))
+    key = F.struct(core.alias("core"), domain.alias("domain_rank"), F.coalesce("educational_level", F.lit("undergraduate")).alias("level"), F.col("name"), F.col("subtopic_id"))
+    first = topics.where("name <> ''").groupBy("name").agg(F.min(key).alias("k")).select("k.*")
+    order = [F.col("core"), F.col("domain_rank"), F.col("level"), F.col("name"), F.col("subtopic_id")]
+    return global_rank(first, [], order, "position").withColumn("position", F.col("position") + 1)
 
 
 def units(topics: DataFrame) -> DataFrame:
