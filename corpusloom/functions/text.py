@@ -32,7 +32,7 @@ LATEX: Chain = [
     (r"\\begin\{[^}]+\}", ""), (r"\\end\{[^}]+\}", ""), (r"\\[a-zA-Z]+\*?(\[[^\]]*\])?(\{[^}]*\})*", ""), (r"[{}\\]", ""), (r"\s+", " "), (r"^ | $", ""),
 ]
 MARKDOWN: Chain = [(r"[#*`_\[\]()]", ""), (r"\s+", " "), (r"^ | $", "")]
-HTML: Chain = [(r"<[^>]+>", ""), (r"\s+", " "), (r"^ | $", "")]
+HTML: Chain = [(r"(?is)<(?:script|style)\b.*?</(?:script|style)\s*>", ""), (r"<[^>]+>", ""), (r"\s+", " "), (r"^ | $", "")]
 
 
 def apply_chain(c: Column, chain: Chain) -> Column:

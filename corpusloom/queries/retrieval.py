@@ -14,10 +14,6 @@ def _chapters(spark, d):
     return table(spark, d, "chapters").where("content is not null")
 
 
-def heading_lines(spark, d):
-    return toc.heading_lines(_chapters(spark, d), "chapter_id", "content")
-
-
 def markdown_headings(spark, d):
     """Headings of the TOC written as Markdown, read back."""
     e = topics.current_entries(table(spark, d, "toc_entries")).where("title <> '' and level between 1 and 6")
@@ -85,13 +81,10 @@ def events_by_day(spark, d):
     return e.groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count("*").alias("events"), F.countDistinct("user_id").alias("users"), F.sum(F.round(F.col("value") * 100).cast("long")).alias("value_cents"), F.sum(F.get_json_object("props", "$.k").cast("long")).alias("k"))
 
 
-QUERIES = {f.__name__: f for f in (heading_lines, markdown_headings, latex_headings, chunk_fold, vector_topk, label_centroids, cross_references, context_topk, similar_titles, nested_paths, events_by_day)}
+QUERIES = {f.__name__: f for f in (markdown_headings, latex_headings, chunk_fold, vector_topk, label_centroids, cross_references, context_topk, similar_titles, nested_paths, events_by_day)}
 
 _LINES = r"ln AS (SELECT chapter_id, (unnest(range(len(l))))::INT AS pos, regexp_replace(unnest(l), '^\s+|\s+$', '', 'g') AS line FROM (SELECT chapter_id, regexp_split_to_array(content, '\r?\n') AS l FROM chapters WHERE content IS NOT NULL))"
-_T = [(p.replace("(?i:", "(?i:"), lv, g) for p, lv, g in toc.HEADING_KINDS]
 SQL = {
-    "heading_lines": f"""WITH {_LINES}, h AS (SELECT chapter_id, pos, CASE {' '.join(f'WHEN regexp_matches(line, {D.quote(p)}) THEN {lv}' for p, lv, _ in _T)} END AS level, CASE {' '.join(f'WHEN regexp_matches(line, {D.quote(p)}) THEN trim(regexp_extract(line, {D.quote(p)}, {g}))' for p, _, g in _T)} END AS title,
-      try_cast(nullif(regexp_extract(line, '\\s(\\d+)$', 1), '') AS INT) AS page_number FROM ln WHERE length(line) BETWEEN 5 AND 150 AND NOT regexp_matches(lower(line), '{"|".join(toc.SKIP_WORDS)}')) SELECT * FROM h WHERE level IS NOT NULL""",
     "markdown_headings": rf"WITH {D.CURRENT} SELECT row_id, level, trim(regexp_replace(title, '\s+', ' ', 'g')) AS title FROM cur WHERE title <> '' AND level BETWEEN 1 AND 6",
     "latex_headings": r"""SELECT subtopic_id, 0 AS position, 3 AS level, trim(name) AS title FROM subtopics WHERE NOT contains(name, '}') UNION ALL SELECT subtopic_id, 1, 4, trim(coalesce(section_title, 'none')) FROM subtopics WHERE coalesce(section_title, 'none') <> ''""",
     "vector_topk": "SELECT query_id, vec_id, rank, round(s, 6) AS similarity FROM (SELECT q.vec_id AS query_id, v.vec_id, list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS s, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) DESC, v.vec_id)::INT AS rank FROM embeddings q JOIN embeddings v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0) WHERE rank <= 3",

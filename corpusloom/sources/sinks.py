@@ -4,16 +4,58 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import file_name
+from corpusloom.functions.text import file_name, level_name
+from corpusloom.operators.toc import depth_first
 
 
-def write_toc_tsv(resolved: DataFrame, path: str) -> None:
-    """Resolved entries (with paths), depth first, tab separated with a header."""
-    rows = resolved.where("path is not null").select("grp", F.array_join("path", "/").alias("path"), "key", "depth")
-    rows.repartitionByRange("grp", "path").sortWithinPartitions("grp", "path").write.mode("overwrite").option("sep", "\t").option("header", "true").csv(path)
+def _read_order(toc: DataFrame) -> DataFrame:
+    """Rows of tables of contents with book, depth and their place in reading order (those that reach a root)."""
+    newest = toc.groupBy("book_id", "entry_id").agg(F.max_by(F.struct("title", "level", "section_number", "page_number", "parent_id"), F.struct("extracted_at", "row_id")).alias("e"))
+    return depth_first(toc).join(newest, ["book_id", "entry_id"]).select("book_id", "place", "depth", "entry_id", "e.*")
+
+
+def write_toc_tsv(toc: DataFrame, path: str) -> None:
+    """Entries of tables of contents, depth first and siblings in the order of row_id, tab separated with a header."""
+    rows = _read_order(toc).repartitionByRange("book_id", "place").sortWithinPartitions("book_id", "place")
+    rows.select("book_id", "entry_id", "title", "depth", "section_number", "page_number", "parent_id").write.mode("overwrite").option("sep", "\t").option("header", "true").csv(path)
+
+
+TOC_JSON = "book_id string, entry_id string, parent_id string, title string, level int, page_number int"
+
+
+def write_toc_json(toc: DataFrame, path: str) -> None:
+    """Entries as JSON lines, one per entry with its book, in files of whole ranges of books."""
+    toc.select("book_id", "entry_id", "parent_id", "title", "level", "page_number").repartitionByRange("book_id", "entry_id").write.mode("overwrite").json(path)
+
+
+def read_toc_json(spark: SparkSession, path: str) -> DataFrame:
+    """What write_toc_json wrote."""
+    return spark.read.schema(TOC_JSON).json(path)
+
+
+def book_report(books: DataFrame, toc: DataFrame) -> DataFrame:
+    """Books by discipline, level and title with the number of their entries and how deep they go (null without entries)."""
+    per = depth_first(toc).groupBy("book_id").agg(F.count("*").alias("entries"), F.max("depth").alias("deepest"))
+    rows = books.join(per, "book_id", "left").select("discipline", level_name(F.col("level")).alias("level"), "book_title", "book_id", F.coalesce("entries", F.lit(0)).alias("entries"), "deepest")
+    return rows.orderBy("discipline", "level", "book_title", "book_id")
+
+
+def write_book_list(books: DataFrame, path: str) -> None:
+    """The list of books as TSV and as JSON lines."""
+    rows = books.select("book_id", "book_title", "discipline", "level", "language").repartitionByRange("discipline", "book_title", "book_id").sortWithinPartitions("discipline", "book_title", "book_id")
+    rows.write.mode("overwrite").option("sep", "\t").option("header", "true").csv(f"{path}/tsv")
+    rows.write.mode("overwrite").json(f"{path}/json")
+
+
+def catalog_lines(books: DataFrame) -> DataFrame:
+    """place, line of a catalog in Markdown: a heading per discipline, then its books with their level. Sort by place."""
+    subject = F.coalesce("discipline", F.lit("General"))
+    heads = books.select(subject.alias("s")).distinct().select(F.struct("s", F.lit("").alias("t"), F.lit("").alias("id")).alias("place"), F.concat(F.lit("## "), "s").alias("line"))
+    items = books.select(F.struct(subject.alias("s"), F.coalesce("book_title", F.lit("Untitled")).alias("t"), F.coalesce("book_id", F.lit("")).alias("id")).alias("place"), F.concat(F.lit("- "), F.coalesce("book_title", F.lit("Untitled")), F.lit(" ("), F.coalesce("level", F.lit("unknown")), F.lit(")")).alias("line"))
+    return heads.unionByName(items)
 
 
 def write_chunks(chunks: DataFrame, path: str) -> None:

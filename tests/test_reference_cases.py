@@ -45,7 +45,10 @@ def test_headings(spark):
     tex = toc.latex_headings(df("\\chapter{A}\\section{B} t \\subsection*{C}"), "id", "text")
     assert [(r["title"], r["level"]) for r in tex.orderBy("pos").collect()] == [("A", 2), ("B", 3), ("C", 4)]
     lines = toc.heading_lines(df("Chapter 1: Motion 12\n1.2 Force and energy 15\nplain words\nSee Figure 3"), "id", "text")
-    assert [(r["title"], r["level"], r["page_number"]) for r in lines.orderBy("pos").collect()] == [("Motion", 1, 12), ("Force and energy", 2, 15)]
+    assert [(r["title"], r["level"], r["page_number"]) for r in lines.orderBy("pos").collect()] == [("1 Motion", 1, 12), ("1 2 Force and energy", 1, 15), ("plain words", 2, None)]
+    xml = "<document><chapter>B</chapter><title>A</title><section>C</section><h3>A</h3><p>x</p></document>"
+    assert [(r["title"], r["level"]) for r in toc.xml_headings(df(xml), "id", "text").orderBy("pos").collect()] == [("A", 1), ("B", 1), ("C", 2)]
+    assert toc.xml_headings(df("<a><b></a>"), "id", "text").count() == 0
     section = toc.contents_section(df("Title\nContents\n1. Motion\nab\n2. Force\nPreface here\n3. Lost"), "id", "text")
     assert [r["line"] for r in section.orderBy("pos").collect()] == ["1. Motion", "2. Force"]
 
@@ -227,6 +230,55 @@ def test_rule_links_hold_all_pairs(spark):
         assert r["links"] == len(mine) and r["prior"] == sum(p < topics[r["dst"]][2] for p in mine)
 
 
+def test_reports_and_depth_first_tsv(spark, tmp_path):
+    import datetime as dt
+
+    from corpusloom.sources import sinks
+
+    t = dt.datetime(2024, 1, 1)
+    rows = [(i, "b", k, p, 1, t, f"T{k}", 5 + i, None) for i, (k, p) in enumerate([("e2", None), ("e10", None), ("x", "e2"), ("y", "x"), ("z", "e2")])]
+    toc_rows = spark.createDataFrame(rows, "row_id long, book_id string, entry_id string, parent_id string, level int, extracted_at timestamp, title string, page_number int, section_number string")
+    sinks.write_toc_tsv(toc_rows, str(tmp_path / "tsv"))
+    back = spark.read.option("sep", "\t").option("header", "true").csv(str(tmp_path / "tsv"))
+    assert [r["entry_id"] for r in back.collect()] == ["e2", "x", "y", "z", "e10"]
+    sinks.write_toc_json(toc_rows, str(tmp_path / "json"))
+    again = sinks.read_toc_json(spark, str(tmp_path / "json"))
+    assert {tuple(r) for r in again.collect()} == {("b", k, p, f"T{k}", 1, 5 + i) for i, (k, p) in enumerate([("e2", None), ("e10", None), ("x", "e2"), ("y", "x"), ("z", "e2")])}
+    books = spark.createDataFrame([("b", "Title", "D", "HighSchool", "en"), ("c", "Other", "A", None, None)], "book_id string, book_title string, discipline string, level string, language string")
+    report = sinks.book_report(books, toc_rows).collect()
+    assert [(r["book_title"], r["entries"], r["deepest"]) for r in report] == [("Other", 0, None), ("Title", 5, 3)]
+    sinks.write_book_list(books, str(tmp_path / "list"))
+    assert spark.read.json(str(tmp_path / "list" / "json")).count() == 2 and spark.read.option("sep", "\t").option("header", "true").csv(str(tmp_path / "list" / "tsv")).count() == 2
+    assert [r["line"] for r in sinks.catalog_lines(books).orderBy("place").collect()][:2] == ["## A", "- Other (unknown)"]
+
+
+def test_title_rules(spark):
+    from corpusloom.functions import titles as R
+
+    assert one(spark, R.administrative, "Index", "Chapter 4", "Waves", "Part IV") == [True, True, False, True]
+    assert one(spark, R.matching_title, "Introduction to Waves II") == ["waves"]
+    assert one(spark, R.granularity, "Overview of nature", "Snell law") == ["high_level", "granular"]
+    assert one(spark, R.repository_type, "osbooks-physics", "cnxbook-x", "y") == ["OpenStax Book", "CNX Book", "Other Repository"]
+    assert one(spark, lambda c: R.clone_url(c, True), "https://host.org/a/b.git") == ["git@host.org:a/b.git"]
+    assert one(spark, lambda c: R.clone_url(c, False), "git@host.org:a/b.git") == ["https://host.org/a/b.git"]
+    assert one(spark, R.chapter_title, "Chapter 1: Introduction to Physics\nText", "ab", None) == ["Introduction to Physics", "Content Section", None]
+
+
+def test_overlapping_occurrences(spark):
+    df = spark.createDataFrame([(1, "aAaa b aa")], "id int, text string")
+    assert [r["pos"] for r in toc.occurrences(df, "id", "text", "aa", most=3, around=2).orderBy("pos").collect()] == [1, 2, 3]
+
+
+def test_cycles_in_logarithmic_rounds(spark):
+    from corpusloom.operators import graph, hierarchy
+
+    links = [("b", f"n{i}", f"n{(i + 1) % 500}", None) for i in range(500)] + [("b", "r", None, None), ("b", "s", "s", None), ("b", "u", "n3", None)]
+    df = spark.createDataFrame(links, "grp string, key string, parent string, level int").withColumn("up", F.col("parent"))
+    r = hierarchy.resolve(df, keep=("level", "up"), tail_rows=0).withColumnRenamed("up", "parent").cache()
+    assert {tuple(x) for x in graph.cycle_breaks(r).collect()} == {("b", "n0", "n1"), ("b", "s", "s")}
+    assert tuple(graph.forest_properties(r).first()) == ("b", 503, 502, 3, 501, False, 1)
+
+
 def test_nested_paths_go_below_subfolders(spark, tmp_path):
     from corpusloom.queries.retrieval import nested_paths
 
