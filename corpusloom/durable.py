@@ -49,10 +49,14 @@ class Scratch:
         self._next = 0
         atexit.register(_delete, spark, self.folder)
 
+    def new_path(self) -> str:
+        """The path of a table that is still to be written."""
+        self._next += 1
+        return f"{self.folder}/t{self._next - 1}"
+
     def put(self, df: DataFrame, partition_by: str | None = None) -> str:
         """Write df as a new table; gives its path. The shuffle files of the job are deleted when the table is whole."""
-        path = f"{self.folder}/t{self._next}"
-        self._next += 1
+        path = self.new_path()
         writer = df.write.mode("overwrite").option("compression", "zstd")
         if partition_by:
             writer = writer.partitionBy(partition_by)

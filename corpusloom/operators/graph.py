@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from corpusloom.durable import Scratch, with_dense_ids
+from corpusloom.operators import hierarchy
 from corpusloom.operators.components import components
 
 
@@ -63,26 +64,45 @@ def acyclic(edges: DataFrame, positions: DataFrame) -> DataFrame:
 def generations(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """id, generation: 0 without predecessors, else 1 + the highest of the predecessors. The graph must be acyclic.
 
-    Kahn's algorithm by rounds: a round removes all nodes without open predecessors and updates the open counts of their
-    successors only.
+    Chains (nodes with one predecessor that has no other successor) are first contracted to their heads, in a logarithmic
+    number of rounds whatever their length; what is left goes by Kahn's algorithm with chain lengths as weights, a round
+    for each chain on the longest way. A round removes all heads without open predecessors and updates only the open
+    counts and generations of their successors; tables of past rounds are dropped. Edges with an end that is no node do not
+    count.
     """
     scratch = Scratch(nodes.sparkSession, "generations")
-    e = scratch.cut(edges.select("src", "dst").distinct())
-    ins = e.groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("open"))
-    state = scratch.cut(nodes.select("id").distinct().join(ins, "id", "left").select("id", F.coalesce("open", F.lit(0)).alias("open")))
-    done = None
-    g = 0
+    ids = scratch.cut(nodes.select("id").distinct())
+    ends = edges.select("src", "dst").distinct().join(ids.select(F.col("id").alias("src")), "src", "left_semi").join(ids.select(F.col("id").alias("dst")), "dst", "left_semi")
+    e = scratch.cut(ends.select("src", "dst"))
+    outs = e.groupBy("src").agg(F.count("*").alias("outs")).where("outs = 1").select("src")
+    one_in = e.groupBy("dst").agg(F.count("*").alias("ins"), F.min("src").alias("src")).where("ins = 1").select("src", "dst")
+    link = scratch.cut(one_in.join(outs, "src", "left_semi").select("src", "dst"))
+    chains = ids.join(link.select(F.col("dst").alias("id"), F.col("src").alias("up")), "id", "left").select(F.lit("").alias("grp"), F.col("id").alias("key"), F.col("up").alias("parent"))
+    placed = scratch.cut(hierarchy.resolve(chains, keep=()).select(F.col("key").alias("id"), F.col("root_key").alias("head"), (F.col("depth") - 1).alias("at")))
+    if not placed.where("head is null").isEmpty():
+        raise ValueError("the graph has a cycle; see acyclic()")
+    length = placed.groupBy("head").agg((F.max("at") + 1).cast("long").alias("length"))
+    # An edge that is no link leaves from the end of a chain and goes to the head of another.
+    across = e.join(link, ["src", "dst"], "left_anti").join(placed.select(F.col("id").alias("src"), "head"), "src").select(F.col("head").alias("src"), "dst").distinct()
+    across = scratch.cut(across.join(length.select(F.col("head").alias("src"), "length"), "src").select("src", "dst", "length"))
+    ins = across.groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("open"))
+    path = scratch.put(length.select(F.col("head").alias("id")).join(ins, "id", "left").select("id", F.coalesce("open", F.lit(0)).cast("long").alias("open"), F.lit(0).cast("long").alias("g")))
+    done = scratch.new_path()
     while True:
-        ready = state.where("open = 0").select("id", F.lit(g).alias("generation"))
-        done = ready if done is None else done.unionByName(ready)
-        rest = state.where("open > 0")
-        freed = e.join(ready.select(F.col("id").alias("src")), "src").groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("freed"))
-        new = scratch.cut(rest.join(freed, "id", "left").select("id", (F.col("open") - F.coalesce("freed", F.lit(0))).alias("open")))
-        if new.isEmpty():
-            return done
-        if new.where("open = 0").isEmpty():
+        state = scratch.get(path)
+        state.where("open = 0").select("id", "g").write.mode("append").parquet(done)
+        freed = across.join(state.where("open = 0").select(F.col("id").alias("src"), "g"), "src").groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("freed"), F.max(F.col("g") + F.col("length")).alias("g2"))
+        new = state.where("open > 0").join(freed, "id", "left").select("id", (F.col("open") - F.coalesce("freed", F.lit(0))).alias("open"), F.greatest("g", F.coalesce("g2", F.lit(0))).alias("g"))
+        new_path = scratch.put(new)
+        scratch.drop(path)
+        path = new_path
+        left = scratch.get(path).agg(F.count("*").alias("n"), F.count(F.when(F.col("open") == 0, 1)).alias("ready")).first()
+        if not left["n"]:
+            break
+        if not left["ready"]:
             raise ValueError("the graph has a cycle; see acyclic()")
-        state, g = new, g + 1
+    heads = scratch.get(done).select(F.col("id").alias("head"), "g")
+    return placed.join(heads, "head").select("id", (F.col("g") + F.col("at")).cast("int").alias("generation"))
 
 
 def most_referenced(edges: DataFrame, k: int = 10) -> DataFrame:

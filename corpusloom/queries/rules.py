@@ -9,6 +9,7 @@ from corpusloom.functions import lexicons as L
 from corpusloom.functions.text import GROUP_NAME, group_name, title_quality
 from corpusloom.operators import standards, topics
 from corpusloom.queries import duck as D
+from corpusloom.queries.learning import _U
 from corpusloom.queries.learning import _u
 from corpusloom.sources.tables import table
 
@@ -97,7 +98,7 @@ def _standards() -> str:
 
 
 _BASE = f"lower({D.chain('name', GROUP_NAME)})"
-_U = __import__("corpusloom.queries.learning", fromlist=["_U"])._U
+
 SQL = {
     "standards_map": f"WITH tx AS (SELECT subtopic_id, lower(concat_ws(' ', name, description)) AS t FROM subtopics) {_standards()}",
     "elective_score": f"""WITH g AS (SELECT {_BASE} AS base, list_sort(list_distinct(list(educational_level))) AS levels, len(list_distinct(flatten(list(coalesce(source_books, []))))) / (SELECT count(*) FROM book_tocs) AS f FROM subtopics GROUP BY 1),

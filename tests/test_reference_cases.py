@@ -279,6 +279,23 @@ def test_cycles_in_logarithmic_rounds(spark):
     assert tuple(graph.forest_properties(r).first()) == ("b", 503, 502, 3, 501, False, 1)
 
 
+def test_generations_of_long_chains_and_diamonds(spark):
+    from corpusloom.operators import graph
+
+    n = 3000
+    edges = [(i, i + 1) for i in range(n)] + [(n, n + 1), (n, n + 2), (n + 1, n + 3), (n + 2, n + 4), (n + 4, n + 3), (-1, 5)]
+    want = {-1: 0}
+    for i in range(n + 5):
+        want[i] = i
+    want |= {n + 1: n + 1, n + 2: n + 1, n + 4: n + 2, n + 3: n + 3, n + 9: 0}
+    nodes = spark.createDataFrame([(k,) for k in want], "id long")
+    got = {r["id"]: r["generation"] for r in graph.generations(nodes, spark.createDataFrame(edges, "src long, dst long")).collect()}
+    assert got == want
+    for loop in ([(1, 2), (2, 1)], [(1, 2), (2, 3), (3, 2), (1, 3)]):
+        with pytest.raises(ValueError):
+            graph.generations(spark.createDataFrame([(1,), (2,), (3,)], "id long"), spark.createDataFrame(loop, "src long, dst long"))
+
+
 def test_nested_paths_go_below_subfolders(spark, tmp_path):
     from corpusloom.queries.retrieval import nested_paths
 
