@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("structure", "text", "catalog", "learning", "retrieval", "rules", "levels", "titles", "links", "contents", "alike", "scores")
+MODULES = ("structure", "text", "catalog", "learning", "retrieval", "rules", "levels", "titles", "links", "contents", "alike", "scores", "concepts")
 
 
 def collect(modules: tuple[str, ...] = MODULES, package: str = "corpusloom.queries") -> tuple[dict, dict]:
