@@ -28,3 +28,23 @@ def test_joins_of_nothing(spark):
     r = spark.createDataFrame([(7, ["x", "y"]), (8, ["x"]), (9, [])], words.replace("a long", "b long"))
     assert [tuple(x) for x in L.jaccard_join(l, r, 0.8).collect()] == [(3, 7, 1.0)]
     assert L.greedy_groups(spark.createDataFrame([], "id long"), spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_recall_of_the_vector_index(spark):
+    import numpy as np
+
+    from corpusloom.operators import similarity, vector_index
+
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=(30, 16))
+    rows = [(i, (centre[i % 30] + 0.4 * rng.normal(size=16)).tolist()) for i in range(3000)] + [(9001, None)]
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    q = e.where("vec_id % 20 = 0")
+    want = {(r["query_id"], r["vec_id"]) for r in similarity.vector_topk(q, e).collect()}
+    cells, probes = vector_index.fit(e, "vec_id", "embedding", cells=32)
+    assert probes < 32
+    got = {(r["query_id"], r["vec_id"]) for r in vector_index.topk(q, e, cells, probes=probes).collect()}
+    assert len(got & want) >= 0.9 * len(want)
+    whole = {(r["query_id"], r["vec_id"]) for r in vector_index.topk(q, e, cells, probes=32).collect()}
+    assert whole == want
+    assert vector_index.topk(q.limit(0), e.limit(0), *vector_index.fit(e.limit(0), "vec_id", "embedding")[:1]).count() == 0
