@@ -87,7 +87,7 @@ def words_table(df: DataFrame, key: str, texts: list[str]) -> DataFrame:
         for batch in batches:
             ids, sizes, flat = [], [], []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = set(_WORD.findall(text.lower()))
+                found = _WORD.findall(text.lower())
                 if not found:
                     continue
                 flat += map(known.__getitem__, found)
@@ -95,11 +95,13 @@ def words_table(df: DataFrame, key: str, texts: list[str]) -> DataFrame:
                 sizes.append(len(found))
             if len(known) > 2_000_000:
                 known.clear()
-            # Sorted by text and hash in one key; a batch has fewer than 2 ** 24 rows.
-            hashes = np.sort(np.array(flat, dtype="<u8") | np.repeat(np.arange(len(sizes), dtype="<u8") << np.uint64(8 * BYTES), sizes))
+            # Sorted by text and hash in one key, each once; a batch has fewer than 2 ** 24 rows.
+            both = np.sort(np.array(flat, dtype="<u8") | np.repeat(np.arange(len(sizes), dtype="<u8") << np.uint64(8 * BYTES), sizes))
+            hashes = both[np.r_[True, both[1:] != both[:-1]]] if len(both) else both
+            sizes = np.bincount((hashes >> np.uint64(8 * BYTES)).astype(np.int64), minlength=len(sizes))
             packed = hashes.view(np.uint8).reshape(-1, 8)[:, :BYTES].tobytes()
             ends = np.cumsum(sizes) * BYTES
-            blobs = [packed[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())] if sizes else []
+            blobs = [packed[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())] if len(sizes) else []
             keys = [digest(b) - (1 << 63) for b in blobs]
             for i, k in enumerate(keys):
                 if k in seen:
@@ -272,7 +274,10 @@ def band_rows(texts: DataFrame, sketch: Broadcast | None, n_rows: int, parts: in
 
 def _pairs_of(v: np.ndarray, node: np.ndarray, led: np.ndarray, star_above: int):
     """Pairs (a, b, band value, whether of a star) of the nodes that share a band value. A value with a leader or with many nodes makes a star."""
-    order = np.lexsort((node, led == 0, v))
+    order = np.argsort(v)
+    same = v[order][1:] == v[order][:-1]
+    order = order[np.r_[False, same] | np.r_[same, False]] if len(v) else order  # most values stand alone
+    order = order[np.lexsort((node[order], led[order] == 0, v[order]))]
     v, node, led = v[order], node[order], led[order]
     keep = np.r_[True, (v[1:] != v[:-1]) | (node[1:] != node[:-1])] if len(v) else np.zeros(0, dtype=bool)
     v, node, led = v[keep], node[keep], led[keep]
