@@ -132,13 +132,21 @@ def graph_properties(spark, d):
     return graph.properties(u.select(F.col("unit_id").alias("id")), e)
 
 
+def _planted(spark, d):
+    """The prerequisite graph with the reverse of every edge whose source is divisible by 3, so that there are cycles."""
+    u, e = _edges(spark, d)
+    back = e.where("src % 3 = 0").select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.lit("planted").alias("kind"), F.lit(0.3).alias("confidence"))
+    return u, e.unionByName(back)
+
+
 def cyclic_core(spark, d):
-    """Edges of the prerequisite graph between or on cycles."""
-    return graph.cyclic_core(_edges(spark, d)[1])
+    """Edges of the prerequisite graph with planted cycles that lie between or on cycles."""
+    return graph.cyclic_core(_planted(spark, d)[1])
 
 
 def acyclic_edges(spark, d):
-    u, e = _edges(spark, d)
+    """The prerequisite graph with planted cycles, without the edges of its core that go back in the order of units."""
+    u, e = _planted(spark, d)
     return graph.acyclic(e, u.select(F.col("unit_id").alias("id"), "pos")).select("src", "dst")
 
 
@@ -240,6 +248,7 @@ _ENT = D.CURRENT + ", ent AS (SELECT * REPLACE (nullif(trim(parent_id), '') AS p
 _RES = _U + """, nm AS (SELECT lower(trim(title)) AS key, min(pos) AS pos, arg_min(unit_id, pos) AS pid FROM u GROUP BY 1), wn AS (SELECT DISTINCT unit_id, pos, lower(trim(x)) AS key FROM (SELECT unit_id, pos, unnest(prerequisites) AS x FROM u)),
   res AS (SELECT DISTINCT w.unit_id, n.pid AS prerequisite_id, w.pos AS unit_pos, n.pos AS prerequisite_pos FROM wn w JOIN nm n USING (key) WHERE n.pid <> w.unit_id)"""
 _EDGE = _RES + ", e AS (SELECT prerequisite_id AS src, unit_id AS dst, 'explicit' AS kind, CASE WHEN prerequisite_pos < unit_pos THEN 0.9 ELSE 0.6 END::DOUBLE AS confidence, prerequisite_pos AS p, unit_pos AS q FROM res)"
+_PLANTED = _EDGE.replace(", e AS (", ", e0 AS (") + ", e AS (SELECT * FROM e0 UNION ALL SELECT dst, src, 'planted', 0.3::DOUBLE, q, p FROM e0 WHERE src % 3 = 0)"
 _BASE = f"lower({D.chain('name', GROUP_NAME)})"
 _PROG = f"""pr AS (SELECT subtopic_id, base, row_number() OVER w AS step, lag(subtopic_id) OVER w AS previous, count(*) OVER (PARTITION BY base) AS n, name FROM (SELECT *, {_BASE} AS base FROM subtopics) WHERE base <> '' WINDOW w AS (PARTITION BY base ORDER BY {_RANK.format(c='educational_level')}, subtopic_id))"""
 _VIS = "lower(domain) IN (" + ", ".join(map(D.quote, sequence.VISUAL)) + ")"
@@ -306,8 +315,8 @@ SQL = {
     "edge_statistics": f"WITH {_EDGE} SELECT kind, count(*) AS edges, round(avg(confidence), 6) AS mean_confidence, min(confidence) AS least, max(confidence) AS most FROM e GROUP BY kind",
     "graph_properties": f"""WITH {_EDGE}, dg AS (SELECT unit_id, unit_id IN (SELECT dst FROM e) AS has_in, unit_id IN (SELECT src FROM e) AS has_out FROM u)
       SELECT count(*) AS nodes, (SELECT count(*) FROM e) AS edges, count(CASE WHEN NOT has_in THEN 1 END) AS sources, count(CASE WHEN NOT has_out THEN 1 END) AS sinks, count(CASE WHEN NOT has_in AND NOT has_out THEN 1 END) AS isolated, round((SELECT count(*) FROM e) / (count(*) * (count(*) - 1)), 9) AS density FROM dg""",
-    "cyclic_core": f"WITH RECURSIVE {_EDGE}, {_CORE} SELECT src, dst FROM core",
-    "acyclic_edges": f"WITH RECURSIVE {_EDGE}, {_CORE} SELECT src, dst FROM dag",
+    "cyclic_core": f"WITH RECURSIVE {_PLANTED}, {_CORE} SELECT src, dst FROM core",
+    "acyclic_edges": f"WITH RECURSIVE {_PLANTED}, {_CORE} SELECT src, dst FROM dag",
     "topo_generations": f"WITH RECURSIVE {_EDGE}, {_CORE}, g AS (SELECT unit_id AS id, 0 AS generation FROM u UNION SELECT d.dst, g.generation + 1 FROM g JOIN dag d ON d.src = g.id) SELECT id, max(generation)::INT AS generation FROM g GROUP BY id",
     "most_referenced": f"WITH {_EDGE} SELECT src, count(*) AS \"references\" FROM e GROUP BY src ORDER BY 2 DESC, 1 LIMIT 10",
     "domain_rule_edges": f"""WITH {_U}, t AS (SELECT unit_id AS id, {D.most('lower(title)', L.DOMAINS_MOST)} AS domain, pos FROM u), rl AS (SELECT * FROM (VALUES {', '.join(f"({D.quote(k)}, {D.quote(n)})" for k, v in L.DOMAIN_PREREQUISITES.items() for n in v)}) r(domain, needs)),
