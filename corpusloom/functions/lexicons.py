@@ -1,14 +1,16 @@
 """Word lists and rule tables whose values are fixed by the results to be matched."""
 
 # Words that the index leaves out.
-STOPWORDS = """
-a an and are as at be by for from has he in is it its of on that the to was will with this but they have had what said
-each which she how other many some time very when much can would there could see him two more go no way may say come his
-been now find long down day did get made new also any after back well where just first over think than only work life
-into year state never become between high really something most another family own out leave put old while mean keep
-student why let great same big group begin seem country help talk turn ask show try during without again place right move
-too here off need give different away follow around three small set every large must before change does part
-""".split()
+STOPWORDS = [
+    "a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "has", "he", "in", "is", "it", "its", "of", "on", "that", "the", "to", "was", "will",
+    "with", "this", "but", "they", "have", "had", "what", "said", "each", "which", "she", "how", "other", "many", "some", "time", "very", "when", "much", "can",
+    "would", "there", "could", "see", "him", "two", "more", "go", "no", "way", "may", "say", "come", "his", "been", "now", "find", "long", "down", "day", "did",
+    "get", "made", "new", "also", "any", "after", "back", "well", "where", "just", "first", "over", "think", "than", "only", "work", "life", "into", "year",
+    "state", "never", "become", "between", "high", "really", "something", "most", "another", "family", "own", "out", "leave", "put", "old", "while", "mean",
+    "keep", "student", "why", "let", "great", "same", "big", "group", "begin", "seem", "country", "help", "talk", "turn", "ask", "show", "try", "during",
+    "without", "again", "place", "right", "move", "too", "here", "off", "need", "give", "different", "away", "follow", "around", "three", "small", "set",
+    "every", "large", "must", "before", "change", "does", "part",
+]
 
 # Domains by keywords, first match wins (label: keywords).
 DOMAINS_FIRST = {
@@ -180,22 +182,47 @@ A_LEVEL = {"AS1": "Forces, energy and momentum", "AS2": "Electrons, waves and ph
 IGCSE = {"1": "General physics", "2": "Thermal physics", "3": "Properties of waves", "4": "Electricity and magnetism", "5": "Atomic physics"}
 
 # Core topics and special areas of physics.
-CORE_TOPICS = """
-motion, forces, newton, energy, momentum, work, kinematics, dynamics, acceleration, velocity, gravity, friction, collision, conservation, heat, temperature, thermodynamics, gas laws, entropy, thermal, electric, magnetic, current,
-voltage, resistance, circuits, electromagnetic, field, charge, capacitor, inductor, wave, frequency, wavelength, sound, light, optics, reflection, refraction, interference, diffraction, quantum, relativity, atomic, nuclear, photon, electron
-""".replace(",\n", ", ").strip().split(", ")
-SPECIAL_AREAS = """
-astronomy, astrophysics, cosmology, stellar, galactic, planetary, solar system, universe, big bang, black hole, star formation, exoplanet, nebula, galaxy, comet, asteroid, particle physics, condensed matter, plasma physics, biophysics,
-geophysics, medical physics, laser physics, nanotechnology, engineering physics, materials science, semiconductor, superconductor, crystallography, solid state
-""".replace(",\n", ", ").strip().split(", ")
+CORE_TOPICS = [
+    "motion", "forces", "newton", "energy", "momentum", "work", "kinematics", "dynamics", "acceleration", "velocity", "gravity", "friction", "collision",
+    "conservation", "heat", "temperature", "thermodynamics", "gas laws", "entropy", "thermal", "electric", "magnetic", "current", "voltage", "resistance",
+    "circuits", "electromagnetic", "field", "charge", "capacitor", "inductor", "wave", "frequency", "wavelength", "sound", "light", "optics", "reflection",
+    "refraction", "interference", "diffraction", "quantum", "relativity", "atomic", "nuclear", "photon", "electron",
+]
+SPECIAL_AREAS = [
+    "astronomy", "astrophysics", "cosmology", "stellar", "galactic", "planetary", "solar system", "universe", "big bang", "black hole", "star formation",
+    "exoplanet", "nebula", "galaxy", "comet", "asteroid", "particle physics", "condensed matter", "plasma physics", "biophysics", "geophysics",
+    "medical physics", "laser physics", "nanotechnology", "engineering physics", "materials science", "semiconductor", "superconductor", "crystallography",
+    "solid state",
+]
 
 # Words that show a text's language, counted as whole words with their length as weight.
 LANGUAGE_WORDS = {
-    "spanish": "capítulo sección introducción objetivos resumen ejercicios problemas soluciones bibliografía índice contenido apéndice referencias tabla figura ecuación ejemplo definición teorema proposición".split(),
-    "polish": "rozdział sekcja wprowadzenie cele podsumowanie ćwiczenia problemy rozwiązania bibliografia indeks zawartość dodatek referencje tabela rysunek równanie przykład definicja twierdzenie propozycja".split(),
-    "french": "chapitre section introduction objectifs résumé exercices problèmes solutions bibliographie index contenu annexe références tableau figure équation exemple définition théorème proposition".split(),
-    "german": "kapitel abschnitt einführung ziele zusammenfassung übungen probleme lösungen bibliographie index inhalt anhang referenzen tabelle abbildung gleichung beispiel definition theorem satz".split(),
-    "italian": "capitolo sezione introduzione obiettivi riassunto esercizi problemi soluzioni bibliografia indice contenuto appendice riferimenti tabella figura equazione esempio definizione teorema proposizione".split(),
-    "portuguese": "capítulo seção introdução objetivos resumo exercícios problemas soluções bibliografia índice conteúdo apêndice referências tabela figura equação exemplo definição teorema proposição".split(),
-    "english": "chapter section introduction objectives summary exercises problems solutions bibliography index content appendix references table figure equation example definition theorem proposition".split(),
+    "spanish": [
+        "capítulo", "sección", "introducción", "objetivos", "resumen", "ejercicios", "problemas", "soluciones", "bibliografía", "índice", "contenido", "apéndice",
+        "referencias", "tabla", "figura", "ecuación", "ejemplo", "definición", "teorema", "proposición",
+    ],
+    "polish": [
+        "rozdział", "sekcja", "wprowadzenie", "cele", "podsumowanie", "ćwiczenia", "problemy", "rozwiązania", "bibliografia", "indeks", "zawartość", "dodatek",
+        "referencje", "tabela", "rysunek", "równanie", "przykład", "definicja", "twierdzenie", "propozycja",
+    ],
+    "french": [
+        "chapitre", "section", "introduction", "objectifs", "résumé", "exercices", "problèmes", "solutions", "bibliographie", "index", "contenu", "annexe",
+        "références", "tableau", "figure", "équation", "exemple", "définition", "théorème", "proposition",
+    ],
+    "german": [
+        "kapitel", "abschnitt", "einführung", "ziele", "zusammenfassung", "übungen", "probleme", "lösungen", "bibliographie", "index", "inhalt", "anhang",
+        "referenzen", "tabelle", "abbildung", "gleichung", "beispiel", "definition", "theorem", "satz",
+    ],
+    "italian": [
+        "capitolo", "sezione", "introduzione", "obiettivi", "riassunto", "esercizi", "problemi", "soluzioni", "bibliografia", "indice", "contenuto", "appendice",
+        "riferimenti", "tabella", "figura", "equazione", "esempio", "definizione", "teorema", "proposizione",
+    ],
+    "portuguese": [
+        "capítulo", "seção", "introdução", "objetivos", "resumo", "exercícios", "problemas", "soluções", "bibliografia", "índice", "conteúdo", "apêndice",
+        "referências", "tabela", "figura", "equação", "exemplo", "definição", "teorema", "proposição",
+    ],
+    "english": [
+        "chapter", "section", "introduction", "objectives", "summary", "exercises", "problems", "solutions", "bibliography", "index", "content", "appendix",
+        "references", "table", "figure", "equation", "example", "definition", "theorem", "proposition",
+    ],
 }

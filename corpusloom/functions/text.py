@@ -15,6 +15,7 @@ from corpusloom.functions import lexicons as L
 
 Chain = list[tuple[str, str]]
 
+# Ordered patterns of names and titles.
 CLEAN_TITLE: Chain = [(r"^\d+\.?\d*\s*", ""), (r"(?i)^Chapter\s+\d+\s*:?\s*", ""), (r"(?i)^Section\s+\d+\.?\d*\s*:?\s*", ""), (r"\s*\.\s*$", ""), (r"\s+", " ")]
 TOC_TITLE: Chain = [
     (r"^(chapter\s+\d+[.:]?\s*)", ""), (r"^(section\s+\d+[.:]?\s*)", ""), (r"^(\d+[.:]?\s*)", ""), (r"^(introduction\s+to\s+)", ""), (r"^(basic\s+)", ""), (r"^(advanced\s+)", ""),
@@ -158,6 +159,6 @@ def title_quality(title: Column) -> Column:
     """.5, .2 more for 10 to 100 characters (less .2 below 5), less .1 for odd signs and .2 for vague words; 0 to 1."""
     n = F.char_length(title)
     odd = title.rlike(r"[^\p{L}\p{N}\s\-:,.()'&]")
-    vague = contains_any(F.lower(title), ["misc", "other", "various", "stuff", "things"])
+    vague = contains_any(F.lower(title), ["misc", "other", "various", "stuff", "things"])  # fixed values
     score = 0.5 + F.when(n.between(10, 100), 0.2).when(n < 5, -0.2).otherwise(0.0) - F.when(odd, 0.1).otherwise(0.0) - F.when(vague, 0.2).otherwise(0.0)
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), score))
