@@ -72,24 +72,34 @@ def similar_titles(spark, d):
     return similarity.similar_titles(table(spark, d, "book_tocs").select(F.col("book_id").alias("id"), F.col("book_title").alias("title")))
 
 
-def nested_paths(spark, d):
-    """Pairs of files of which one lies below the other's folder."""
-    p = table(spark, d, "pdf_results").select("pdf_id", "file_path")
+def _folders_above(files, key):
+    """key, folder: every folder above a file_path."""
     parts = F.split("file_path", "/")
     above = F.transform(F.filter(F.sequence(F.lit(0), F.size(parts) - 1), lambda k: k > 0), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))
     own = F.array(F.regexp_replace("file_path", "/[^/]+$", ""))
-    folders = p.where("file_path is not null").select(F.col("pdf_id").alias("inner_id"), F.explode(F.array_distinct(F.concat(own, above))).alias("folder"))
+    return files.where("file_path is not null").select(key, F.explode(F.array_distinct(F.concat(own, above))).alias("folder"))
+
+
+def nested_paths(spark, d):
+    """Pairs of files of which one lies below the other's folder."""
+    folders = _folders_above(table(spark, d, "pdf_results").select(F.col("pdf_id").alias("inner_id"), "file_path"), "inner_id")
     outer = table(spark, d, "book_tocs").select("book_id", F.regexp_replace("file_path", "/[^/]+$", "").alias("folder")).where("folder is not null")
     return folders.join(outer, "folder").select("inner_id", "book_id", "folder")
 
 
+def folder_sizes(spark, d):
+    """Files of books and PDF runs below every folder, however deep."""
+    files = table(spark, d, "book_tocs").select(F.lit("book").alias("kind"), "file_path").unionByName(table(spark, d, "pdf_results").select(F.lit("pdf").alias("kind"), "file_path"))
+    return _folders_above(files, "kind").groupBy("folder", "kind").agg(F.count("*").alias("files"))
+
+
 def events_by_day(spark, d):
     """Events, users and summed value by day and type."""
     e = table(spark, d, "events")
     return e.groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count("*").alias("events"), F.countDistinct("user_id").alias("users"), F.sum(F.round(F.col("value") * 100).cast("long")).alias("value_cents"), F.sum(F.get_json_object("props", "$.k").cast("long")).alias("k"))
 
 
-QUERIES = {f.__name__: f for f in (markdown_headings, latex_headings, chunk_fold, vector_topk, vector_topk_indexed, label_centroids, cross_references, context_topk, similar_titles, nested_paths, events_by_day)}
+QUERIES = {f.__name__: f for f in (markdown_headings, latex_headings, chunk_fold, vector_topk, vector_topk_indexed, label_centroids, cross_references, context_topk, similar_titles, nested_paths, folder_sizes, events_by_day)}
 
 _LINES = r"ln AS (SELECT chapter_id, (unnest(range(len(l))))::INT AS pos, regexp_replace(unnest(l), '^\s+|\s+$', '', 'g') AS line FROM (SELECT chapter_id, regexp_split_to_array(content, '\r?\n') AS l FROM chapters WHERE content IS NOT NULL))"
 SQL = {
@@ -97,6 +107,7 @@ SQL = {
     "latex_headings": r"""SELECT subtopic_id, 0 AS position, 3 AS level, trim(name) AS title FROM subtopics WHERE NOT contains(name, '}') UNION ALL SELECT subtopic_id, 1, 4, trim(coalesce(section_title, 'none')) FROM subtopics WHERE coalesce(section_title, 'none') <> ''""",
     "vector_topk": "SELECT query_id, vec_id, rank, round(s, 6) AS similarity FROM (SELECT q.vec_id AS query_id, v.vec_id, list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS s, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) DESC, v.vec_id)::INT AS rank FROM embeddings q JOIN embeddings v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0) WHERE rank <= 3",
     "label_centroids": "SELECT label, round(sqrt(sum(m * m)), 6) AS coherence FROM (SELECT label, i, avg(x) AS m FROM (SELECT label, unnest(range(len(embedding))) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings) GROUP BY ALL) GROUP BY label",
+    "folder_sizes": "SELECT folder, kind, count(*) AS files FROM (SELECT kind, array_to_string(parts[1:k], '/') AS folder FROM (SELECT kind, parts, unnest(range(1, len(parts))) AS k FROM (SELECT 'book' AS kind, string_split(file_path, '/') AS parts FROM book_tocs WHERE file_path IS NOT NULL UNION ALL SELECT 'pdf', string_split(file_path, '/') FROM pdf_results WHERE file_path IS NOT NULL))) GROUP BY ALL",
     "nested_paths": "SELECT pdf_id AS inner_id, book_id, p.folder FROM (SELECT pdf_id, regexp_replace(file_path, '/[^/]+$', '') AS folder FROM pdf_results) p JOIN (SELECT book_id, regexp_replace(file_path, '/[^/]+$', '') AS folder FROM book_tocs) b ON p.folder = b.folder",
     "events_by_day": "SELECT ts::DATE AS day, event_type, count(*) AS events, count(DISTINCT user_id) AS users, sum(round(value * 100)::BIGINT)::BIGINT AS value_cents, sum((props->>'$.k')::BIGINT)::BIGINT AS k FROM events GROUP BY ALL",
     "context_topk": f"""WITH q AS (SELECT subtopic_id AS query_id, unnest(list_distinct({D.terms("concat_ws(' ', name, description)")})) AS term FROM subtopics WHERE subtopic_id % 20 = 0), dd AS (SELECT doc_id, unnest(list_distinct({D.terms('text')})) AS term FROM documents WHERE text IS NOT NULL),
