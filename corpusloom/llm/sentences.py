@@ -41,10 +41,13 @@ CJK = re.compile(r"[぀-ヿ㐀-鿿＀-￯]")
 DEVANAGARI = re.compile(r"[ऀ-ॿ]")
 #: Abbreviated titles and ranks, which a name follows.
 TITLES = frozenset(
-    "Mr Mrs Ms Messrs Mx Dr Drs Prof St Lt Col Gen Maj Capt Cpl Sgt Cmdr Adm Brig Rev Hon Gov Sen Rep Mt Ft viz cf vs approx ca "
-    "Sr Sra Srta Srs Dra Dres Lic Ing Arq Gral Cnel Exmo Exma Ilmo Eng Profa "
-    "Mme Mmes Mlle Mlles Mgr Vve réf Hr Frl bzw Dipl Hrsg "
-    "św ks inż mgr hab płk gen kpt ppłk prof tzw им ул просп проф акад доц инж напр डॉ श्री प्रो".split()
+    [
+        "Mr", "Mrs", "Ms", "Messrs", "Mx", "Dr", "Drs", "Prof", "St", "Lt", "Col", "Gen", "Maj", "Capt", "Cpl", "Sgt", "Cmdr", "Adm", "Brig", "Rev",
+        "Hon", "Gov", "Sen", "Rep", "Mt", "Ft", "viz", "cf", "vs", "approx", "ca", "Sr", "Sra", "Srta", "Srs", "Dra", "Dres", "Lic", "Ing", "Arq",
+        "Gral", "Cnel", "Exmo", "Exma", "Ilmo", "Eng", "Profa", "Mme", "Mmes", "Mlle", "Mlles", "Mgr", "Vve", "réf", "Hr", "Frl", "bzw", "Dipl",
+        "Hrsg", "św", "ks", "inż", "mgr", "hab", "płk", "gen", "kpt", "ppłk", "prof", "tzw", "им", "ул", "просп", "проф", "акад", "доц", "инж",
+        "напр", "डॉ", "श्री", "प्रो",
+    ]
 )
 _MODEL = Path(__file__).with_name("sentence_model.json")
 
