@@ -70,3 +70,35 @@ def test_context_topk_shuffles_no_pairs(spark):
     found = []
     assert shuffled_rows(spark, lambda: found.extend(similarity.context_topk(q, d).collect())) < 30_000
     assert len(found) == 300 and all(r["doc_ids"] == [r["query_id"], *[i for i in range(3) if i != r["query_id"]][:2]] for r in found)
+
+
+TITLES = ["Optics of the lens", "Optic of teh lens", "Introduction to Optics", " introduction to optics", "optics overview", "Optics", "a", "ab", "abc", "b", "basics of ", "fundamentals of ", "回路の曲線 1", "回路の曲線 2", "the wave and the lens", "wave lens", "  ", "\t", "THE WAVE ", "The Wave", "x" * 210 + "abc", "x" * 205 + "abd"]
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.6, 0.8, 0.9])
+def test_title_pairs_of_blocks_against_all_pairs(monkeypatch, threshold):
+    monkeypatch.setattr(similarity, "CELLS", 40)
+    rows = [(t, i, i + 7 * (i % 3)) for i, t in enumerate(TITLES)]
+    table = lambda part: pa.table({c: list(x) for c, x in zip(("title", "lo", "hi"), zip(*part))})
+    s = lambda x, y, can: v if can and (v := round(similarity.title_similarity(x, y), 6)) >= threshold else None
+    for left, right in ((rows, rows), (rows[::2], rows[1::2])):
+        same = left is right
+        got = {tuple(r.values()) for r in similarity._title_pairs(table(left), table(right), threshold, same).to_pylist()}
+        want = {(x[0], y[0], s(x[0], y[0], x[1] < y[2]), s(y[0], x[0], y[1] < x[2])) for i, x in enumerate(left) for j, y in enumerate(right) if (not same or i < j) and x[0].strip() and y[0].strip()}
+        want = {w for w in want if w[2:] != (None, None)} | {(x[0], x[0], 1.0, None) for x in left if same and x[1] != x[2] and x[0].strip()}
+        assert got == want
+
+
+def test_similar_titles_shuffles_no_candidates(spark):
+    """500 titles of which each is there twice: pairs that share signs are half a million, of which few are alike."""
+    rng = random.Random(2)
+    titles = [f"The {''.join(rng.choices('aeioulnrst', k=9))} of the {''.join(rng.choices('aeioulnrst', k=9))}" for _ in range(500)]
+    df = spark.createDataFrame(list(enumerate(titles * 2)), "id long, title string")
+    found = []
+    assert shuffled_rows(spark, lambda: found.extend(similarity.similar_titles(df).collect())) < 20_000
+    got = {(r["a"], r["b"]) for r in found}
+    assert len(got) == len(found) and {(i, i + 500) for i in range(500)} <= got
+    of = defaultdict(list)
+    for i, t in enumerate(titles * 2):
+        of[t].append(i)
+    assert got == {(i, j) for i, j in got if similarity.title_similarity((titles * 2)[i], (titles * 2)[j]) >= 0.8}
